@@ -25,8 +25,10 @@ HTML_REMOVALS = (
     [rf"(?is)<{tag}\b[^<>]*>.*?</{tag}\s*>" for tag in REMOVED_ELEMENTS]
     + [rf"(?is)<{tag}\b[^<>]*>" for tag in REMOVED_VOID_ELEMENTS]
 )
-# an attribute is cut inside its tag only; each pass cuts the last listed one of every tag
-HTML_ATTRIBUTE = rf"""(?is)(<[a-z][^<>]*?)\s+(?:{_ATTRIBUTE_NAMES})\s*=\s*(?:"[^"<>]*"|'[^'<>]*'|[^\s"'<>]+)"""
+# a tag with whole attributes before the one that is cut; each pass cuts the first listed attribute of every tag
+_VALUE = r"""(?:"[^"<>]*"|'[^'<>]*'|[^\s"'<>]+)"""
+HTML_ATTRIBUTE = (rf"""(?is)(<[a-z][a-z0-9]*(?:\s+[^\s=<>"']+(?:\s*=\s*{_VALUE})?)*?)"""
+                  rf"""\s+(?:{_ATTRIBUTE_NAMES})\s*=\s*{_VALUE}""")
 HTML_EMPTY = "(?is)" + "|".join(rf"<{tag}(?:\s[^<>]*)?>\s*</{tag}\s*>" for tag in EMPTIABLE_ELEMENTS)
 NESTING = 6
 
@@ -58,7 +60,7 @@ def html_stripped(c: str | Column) -> Column:
     text = as_column(c)
     for pattern in HTML_REMOVALS:
         text = F.regexp_replace(text, pattern, "")
-    for _ in range(NESTING):
+    for _ in REMOVED_ATTRIBUTES:
         text = F.regexp_replace(text, HTML_ATTRIBUTE, "$1")
     for _ in range(NESTING):
         text = F.regexp_replace(text, HTML_EMPTY, "")
