@@ -324,7 +324,7 @@ def build_month_increment(listings: DataFrame, known: DataFrame, dims: Mapping[s
 
 
 def append_stages(stages: Mapping[str, DataFrame], targets: Mapping[str, str]) -> None:
-    """Append each stage to the table kept for it (the final table is not among those the reference appends to).
+    """Append each stage to the table kept for it (the final table is rebuilt, not appended to).
 
     Ids already in a target are left out, so a repeated run adds nothing. The history table goes last: until it is
     written, a rerun still sees the listings as new.

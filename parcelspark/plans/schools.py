@@ -12,13 +12,13 @@ from parcelspark.operators.windows import top1
 from parcelspark.plans.listing_rules import PUBLIC_SCHOOL, SCHOOL_LEVELS, SCHOOL_MEASURES
 
 
-def schools_by_level(schools: DataFrame) -> DataFrame:
-    """Public schools with a location, one row per level served."""
+def public_schools(schools: DataFrame) -> DataFrame:
+    """Public schools with a location, with the array of levels each one serves."""
     served = [F.when(F.col("ed_level").isin(codes), F.lit(level)) for level, codes in SCHOOL_LEVELS.items()]
     public = schools.filter((F.col("obj_subtcd") == PUBLIC_SCHOOL) & F.col("longitude").isNotNull()
                             & F.col("latitude").isNotNull())
     levels = F.filter(F.array(*served), lambda level: level.isNotNull())
-    return public.withColumn("level", F.explode(levels))
+    return public.withColumn("levels", levels).filter(F.size("levels") > 0)
 
 
 def assign_schools(listings: DataFrame, schools: DataFrame) -> DataFrame:
@@ -27,13 +27,10 @@ def assign_schools(listings: DataFrame, schools: DataFrame) -> DataFrame:
     All levels go through one zone join, one nearest search (its groups are state and level) and one aggregate by
     listing; a level without any school stays NULL.
     """
-    by_level = schools_by_level(schools)
+    public = public_schools(schools)
     where = listings.select("listing_id", "lon", "lat", "state_prov_short")
 
-    zones = schools_by_level(schools.select(
-        "obj_id", "obj_subtcd", "ed_level", "longitude", "latitude", *SCHOOL_MEASURES, "geom"))
-    zones = zones.groupBy("obj_id", "longitude", "latitude", *SCHOOL_MEASURES, "geom").agg(
-        F.collect_set("level").alias("levels"))  # at most three
+    zones = public.select("obj_id", "levels", "longitude", "latitude", *SCHOOL_MEASURES, "geom")
     hits = spatial_join(where.select("listing_id", "lon", "lat"), zones, "lon", "lat", "geom")
     hits = hits.select("listing_id", F.explode("levels").alias("level"), "obj_id", *SCHOOL_MEASURES,
                        sphere_distance_m("lon", "lat", "longitude", "latitude").alias("distance"))
@@ -43,7 +40,8 @@ def assign_schools(listings: DataFrame, schools: DataFrame) -> DataFrame:
     wanted = where.withColumn("level", F.explode(F.array(*[F.lit(v) for v in SCHOOL_LEVELS])))
     missing = wanted.join(best.select("listing_id", "level"), ["listing_id", "level"], "left_anti")
     group = F.concat_ws("|", "state_prov_short", "level")
-    candidates = by_level.withColumn("place", F.concat_ws("|", "state_prov", "level"))
+    candidates = public.withColumn("level", F.explode("levels")).withColumn(
+        "place", F.concat_ws("|", "state_prov", "level"))
     nearest = nearest_school_in_state(
         missing.filter(F.col("state_prov_short").isNotNull()).withColumn("place", group),
         candidates, "listing_id", "obj_id", "place", "lon", "lat", "longitude", "latitude")
