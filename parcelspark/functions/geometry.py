@@ -63,7 +63,9 @@ def unit_vector(lon: str | Column, lat: str | Column) -> tuple[Column, Column, C
 
 
 def chord_to_metres(squared: Column) -> Column:
-    return F.lit(2.0 * EARTH_RADIUS_M) * F.asin(F.least(F.lit(1.0), F.sqrt(squared) / F.lit(2.0)))
+    # least() skips NULL, so a missing distance has to be kept missing here
+    metres = F.lit(2.0 * EARTH_RADIUS_M) * F.asin(F.least(F.lit(1.0), F.sqrt(squared) / F.lit(2.0)))
+    return F.when(squared.isNotNull(), metres)
 
 
 def sphere_distance_m(lon1, lat1, lon2, lat2) -> Column:
@@ -71,14 +73,19 @@ def sphere_distance_m(lon1, lat1, lon2, lat2) -> Column:
 
 
 def squared_to_point(p, q) -> Column:
-    return sum(((u - v) * (u - v) for u, v in zip(p, q)), F.lit(0.0))
+    return sum((F.pow(u - v, F.lit(2)) for u, v in zip(p, q)), F.lit(0.0))
 
 
-def squared_to_segment(p, a, b) -> Column:
-    """Squared distance from point ``p`` to the segment ``a``-``b`` (three coordinates each)."""
+def position_on_segment(p, a, b) -> Column:
+    """Where between ``a`` (0) and ``b`` (1) the segment comes closest to ``p``."""
     d = [v - u for u, v in zip(a, b)]
-    length2 = sum((v * v for v in d), F.lit(0.0))
+    length2 = sum((F.pow(v, F.lit(2)) for v in d), F.lit(0.0))
     along = sum(((u - w) * v for u, w, v in zip(p, a, d)), F.lit(0.0))
-    t = F.when(length2 == 0, F.lit(0.0)).otherwise(
-        F.greatest(F.lit(0.0), F.least(F.lit(1.0), along / F.nullif(length2, F.lit(0.0)))))
-    return sum(((u - (w + t * v)) * (u - (w + t * v)) for u, w, v in zip(p, a, d)), F.lit(0.0))
+    # a segment of length zero has no position: its ends are the same point
+    share = F.coalesce(along / F.nullif(length2, F.lit(0.0)), F.lit(0.0))
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), share))
+
+
+def squared_to_segment_at(p, a, b, t: Column) -> Column:
+    """Squared distance from ``p`` to the point of the segment at position ``t``."""
+    return sum((F.pow(u - (w + t * (v - w)), F.lit(2)) for u, w, v in zip(p, a, b)), F.lit(0.0))

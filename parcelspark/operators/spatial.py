@@ -9,23 +9,29 @@ ray-cast; both sit in the join condition.
 before. Work is done once per occupied finest cell of the points, not per point:
 
 1. one known candidate of the finest non-empty enclosing cell bounds the distance to the nearest one;
-2. the 27 cells around, at the level as wide as that bound, hold every candidate that can win; those farther from the
-   cell than the bound are cut;
+2. the cells within that bound, at the level whose cells are as wide as it (so at most three per axis), hold every
+   candidate that can win; candidates farther from the cell than the bound are cut;
 3. the points of the cell meet only this short list, and the closest of it wins.
 
 So no group is paired with itself in full, the result is exact, and a place that holds a large share of the points
 costs one lookup. Points travel as (id, x, y) rows; wide columns are joined back by id.
+
+Narrow tables that a plan reads twice go through ``materialize`` (by default they are persisted; pass a function that
+writes and reads back a table to keep them on shared storage instead). ``spark.catalog.clearCache()`` frees them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelspark.functions import geometry as geo
 from parcelspark.operators.windows import top1
+from parcelspark.sources.tables import stage
+
+Materialize = Callable[[DataFrame], DataFrame]
 
 # Cell levels of the point-in-polygon grid: cells of 2^-12 (about 30 m) to 2^9 degrees (more than the whole range).
 FINEST_DEGREES, COARSEST_DEGREES = -12, 9
@@ -58,30 +64,30 @@ def _cell(value: Column, level: Column) -> Column:
     return F.floor(value * F.pow(F.lit(2.0), -level)).cast("long")
 
 
-def _levels_in_use(polygons: DataFrame) -> list[int]:
-    """The distinct grid levels of a polygon table: at most 22 whole numbers, from one small aggregate."""
-    rows = polygons.select(_level_of_box().alias("level")).distinct().collect()
-    return sorted(r.level for r in rows)
+def _filed_polygons(polygons: DataFrame, polygon: str) -> DataFrame:
+    """Each polygon in every cell of its level that its box touches (at most four)."""
+    filed = polygon_table(polygons, polygon).withColumn("cell_level", _level_of_box())
+    for axis in ("x", "y"):
+        first, last = (_cell(F.col(f"box_{axis}{end}"), F.col("cell_level")) for end in (0, 1))
+        filed = filed.withColumn(f"cell_{axis}", F.explode(F.sequence(first, last)))
+    return filed
 
 
 def spatial_join(points: DataFrame, polygons: DataFrame, lon: str, lat: str, polygon: str,
-                 levels: Sequence[int] | None = None) -> DataFrame:
+                 levels: Sequence[int] | None = None, materialize: Materialize = stage) -> DataFrame:
     """Inner join of points with every polygon they lie in; the polygon column and its box are not kept.
 
-    ``levels`` names the grid levels in use when known beforehand; otherwise one small aggregate finds them.
+    ``levels`` names the grid levels in use when known beforehand; otherwise one aggregate over the filed polygons
+    finds them (22 whole numbers at most come to the driver).
     """
-    boxed = polygon_table(polygons, polygon)
-    levels = list(levels) if levels is not None else _levels_in_use(boxed)
     keep = [c for c in polygons.columns if c != polygon]
+    filed = materialize(_filed_polygons(polygons, polygon))
+    if levels is None:
+        levels = sorted(r.cell_level for r in filed.select("cell_level").distinct().collect())
     if not levels:
-        return points.join(boxed.select(*keep), F.lit(False), "inner")
-
-    filed = boxed.withColumn("cell_level", _level_of_box())
-    for axis in ("x", "y"):
-        first, last = (_cell(F.col(f"box_{axis}{end}"), F.col("cell_level")) for end in (0, 1))
-        filed = filed.withColumn(f"cell_{axis}", F.explode(F.sequence(first, last)))
+        return points.join(polygons.select(*keep), F.lit(False), "inner")
 
-    looked_up = points.withColumn("cell_level", F.explode(F.array(*[F.lit(v) for v in levels])))
+    looked_up = points.withColumn("cell_level", F.explode(F.array(*[F.lit(int(v)) for v in levels])))
     looked_up = looked_up.withColumns({
         "cell_x": _cell(F.col(lon), F.col("cell_level")), "cell_y": _cell(F.col(lat), F.col("cell_level"))})
 
@@ -140,7 +146,7 @@ def _squared_gap(low: Sequence[Column], high: Sequence[Column], box_low: Sequenc
                  box_high: Sequence[Column]) -> Column:
     """Smallest squared distance between two boxes."""
     gaps = [F.greatest(F.lit(0.0), a0 - b1, b0 - a1) for a0, a1, b0, b1 in zip(low, high, box_low, box_high)]
-    return sum((g * g for g in gaps), F.lit(0.0))
+    return sum((F.pow(g, F.lit(2)) for g in gaps), F.lit(0.0))
 
 
 _END1, _END2, _CELL = ["ax", "ay", "az"], ["bx", "by", "bz"], ["cx", "cy", "cz"]
@@ -162,7 +168,8 @@ def _segment_index(segments: DataFrame) -> DataFrame:
 
 
 def nearest_segment(points: DataFrame, segments: DataFrame, point_id: str, candidate_id: str, group: str,
-                    lon: str, lat: str, only_points: bool, out: str = "distance") -> DataFrame:
+                    lon: str, lat: str, only_points: bool, out: str = "distance",
+                    materialize: Materialize = stage) -> DataFrame:
     """For each point the nearest candidate of its group: ``(point_id, group, candidate_id, distance in metres)``.
 
     ``segments`` has ``group``, ``candidate_id`` and the end points ``lon1, lat1, lon2, lat2`` in degrees; a candidate
@@ -173,14 +180,16 @@ def nearest_segment(points: DataFrame, segments: DataFrame, point_id: str, candi
     for names, (x, y) in ((_END1, ("lon1", "lat1")), (_END2, ("lon2", "lat2"))):
         ends.update(dict(zip(names, geo.unit_vector(x, y))))
     # candidates at the very same place differ by id only, and the smallest wins
-    vectors = segments.withColumns(ends).dropna(subset=[group, candidate_id, *_END1, *_END2])
+    known = segments.dropna(subset=[group, candidate_id, "lon1", "lat1", "lon2", "lat2"])
+    vectors = known.select(group, candidate_id, *[c.alias(n) for n, c in ends.items()])
     places = vectors.groupBy(group, *_END1, *_END2).agg(F.min(candidate_id).alias(candidate_id))
-    index = _segment_index(places)
+    index = materialize(_segment_index(places))
 
     seeds = points.select(point_id, group, lon, lat).dropna().withColumns(
         dict(zip(["px", "py", "pz"], geo.unit_vector(lon, lat))))
     p = [F.col(c) for c in ("px", "py", "pz")]
-    seeds = seeds.withColumns(dict(zip(_CELL, _globe_cells(p)))).select(point_id, group, "px", "py", "pz", *_CELL)
+    seeds = seeds.withColumns(dict(zip(_CELL, _globe_cells(p))))
+    seeds = materialize(seeds.select(point_id, group, "px", "py", "pz", *_CELL))
 
     cell = [F.col(c) for c in _CELL]
     low = [c.cast("double") / F.lit(CELLS_PER_RADIUS) - F.lit(1.0) for c in cell]
@@ -193,7 +202,7 @@ def nearest_segment(points: DataFrame, segments: DataFrame, point_id: str, candi
     samples = index.groupBy(group, "cell").agg(F.min(F.struct(*_END1)).alias("sample"))
     reach = [F.greatest(F.abs(F.col(f"sample.{n}") - lo), F.abs(F.col(f"sample.{n}") - hi))
              for n, lo, hi in zip(_END1, low, high)]
-    farthest = F.sqrt(sum((r * r for r in reach), F.lit(0.0)))
+    farthest = F.sqrt(sum((F.pow(r, F.lit(2)) for r in reach), F.lit(0.0)))
     bounds = up.join(samples, [group, "cell"]).groupBy(group, *_CELL).agg(F.min(farthest).alias("bound"))
     # rounding must never cut a winner
     bounds = bounds.withColumn("bound", F.col("bound") * F.lit(1.000001) + F.lit(1e-12))
@@ -203,9 +212,11 @@ def nearest_segment(points: DataFrame, segments: DataFrame, point_id: str, candi
     wide = bounds.withColumn("first_level", first)
     last = F.col("first_level") if only_points else F.lit(GLOBE_LEVELS)
     wide = wide.withColumn("level", F.explode(F.sequence(F.col("first_level"), last)))
-    for name, c in zip(("nx", "ny", "nz"), cell):
-        around = _coarser(c, F.col("level"))
-        wide = wide.withColumn(name, F.explode(F.sequence(around - 1, around + 1)))
+    for name, lo, hi in zip(("nx", "ny", "nz"), low, high):
+        first_cell, last_cell = (_coarser(v, F.col("level")) for v in (
+            (lo - F.col("bound") + F.lit(1.0)) * F.lit(CELLS_PER_RADIUS),
+            (hi + F.col("bound") + F.lit(1.0)) * F.lit(CELLS_PER_RADIUS)))
+        wide = wide.withColumn(name, F.explode(F.sequence(first_cell, last_cell)))
     wide = wide.withColumn("cell", _pack(F.col("level"), [F.col("nx"), F.col("ny"), F.col("nz")]))
     wide = wide.withColumn("at_first", F.col("level") == F.col("first_level"))
     wide = wide.select(group, *_CELL, "bound", "cell", "at_first")
@@ -215,37 +226,47 @@ def nearest_segment(points: DataFrame, segments: DataFrame, point_id: str, candi
     lists = wide.join(index, [group, "cell"]).filter(reachable)
     lists = lists.select(group, *_CELL, candidate_id, *_END1, *_END2)
     if not only_points:
-        lists = lists.distinct()  # a segment may be filed in several of the 27 cells
+        lists = lists.distinct()  # a segment may be filed in several of the cells
 
     # 3. points against the short list of their cell
-    squared = geo.squared_to_point(p, a) if only_points else geo.squared_to_segment(p, a, b)
-    pairs = seeds.join(lists, [group, *_CELL]).select(point_id, group, candidate_id, squared.alias("squared"))
+    pairs = seeds.join(lists, [group, *_CELL])
+    if only_points:
+        squared = geo.squared_to_point(p, a)
+    else:
+        # a column of its own: it is used three times
+        pairs = pairs.withColumn("position", geo.position_on_segment(p, a, b))
+        squared = geo.squared_to_segment_at(p, a, b, F.col("position"))
+    pairs = pairs.select(point_id, group, candidate_id, squared.alias("squared"))
     best = top1(pairs, [point_id, group], ["squared", candidate_id])
     return best.select(point_id, group, candidate_id, geo.chord_to_metres(F.col("squared")).alias(out))
 
 
 def nearest_in_group(points: DataFrame, polygons: DataFrame, point_id: str, polygon_id: str, group: str, lon: str,
-                     lat: str, polygon: str, out: str = "distance") -> DataFrame:
+                     lat: str, polygon: str, out: str = "distance", materialize: Materialize = stage) -> DataFrame:
     """The nearest polygon of the point's group, for points that lie in none: the nearest edge decides."""
     edges = polygons.select(group, polygon_id, F.explode(polygon).alias("edge"))
     segments = edges.select(group, polygon_id, F.col("edge.x1").alias("lon1"), F.col("edge.y1").alias("lat1"),
                             F.col("edge.x2").alias("lon2"), F.col("edge.y2").alias("lat2"))
-    return nearest_segment(points, segments, point_id, polygon_id, group, lon, lat, only_points=False, out=out)
+    return nearest_segment(points, segments, point_id, polygon_id, group, lon, lat, only_points=False, out=out,
+                           materialize=materialize)
 
 
 def nearest_school_in_state(points: DataFrame, places: DataFrame, point_id: str, place_id: str, group: str, lon: str,
-                            lat: str, place_lon: str, place_lat: str, out: str = "distance") -> DataFrame:
+                            lat: str, place_lon: str, place_lat: str, out: str = "distance",
+                            materialize: Materialize = stage) -> DataFrame:
     """The nearest place (such as a school of one level) in the point's group (such as its state)."""
     segments = places.select(group, place_id, F.col(place_lon).alias("lon1"), F.col(place_lat).alias("lat1"),
                              F.col(place_lon).alias("lon2"), F.col(place_lat).alias("lat2"))
-    return nearest_segment(points, segments, point_id, place_id, group, lon, lat, only_points=True, out=out)
+    return nearest_segment(points, segments, point_id, place_id, group, lon, lat, only_points=True, out=out,
+                           materialize=materialize)
 
 
 def contains_or_nearest(points: DataFrame, polygons: DataFrame, point_id: str, polygon_id: str, group: str, lon: str,
-                        lat: str, polygon: str) -> DataFrame:
+                        lat: str, polygon: str, materialize: Materialize = stage) -> DataFrame:
     """``(point_id, polygon_id)``: every polygon a point lies in; for points in none, the nearest of their group."""
     located = spatial_join(points.select(point_id, lon, lat), polygons.select(polygon_id, polygon), lon, lat, polygon)
-    located = located.select(point_id, polygon_id)
+    located = materialize(located.select(point_id, polygon_id))
     rest = points.select(point_id, group, lon, lat).join(located.select(point_id).distinct(), point_id, "left_anti")
-    nearest = nearest_in_group(rest, polygons, point_id, polygon_id, group, lon, lat, polygon)
+    nearest = nearest_in_group(rest, polygons, point_id, polygon_id, group, lon, lat, polygon,
+                               materialize=materialize)
     return located.unionByName(nearest.select(point_id, polygon_id))

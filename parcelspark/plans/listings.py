@@ -8,7 +8,7 @@ wide stage tables where a user keeps them.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -21,7 +21,7 @@ from parcelspark.operators import filters as flt
 from parcelspark.operators.aggregates import max_per_group
 from parcelspark.operators.joins import backfill_latest, join_dimensions_left, join_not_in, join_time_trend
 from parcelspark.operators.setops import sample_fraction
-from parcelspark.operators.spatial import key_else_spatial, spatial_join
+from parcelspark.operators.spatial import Materialize, key_else_spatial, spatial_join
 from parcelspark.operators.windows import dedupe_by_id
 from parcelspark.plans import listing_rules as rules
 from parcelspark.plans.location import enrich_location
@@ -29,8 +29,6 @@ from parcelspark.plans.schools import assign_schools
 from parcelspark.sources.schemas import DEMOGRAPHICS
 from parcelspark.sources.tables import append_aligned, stage
 
-Materialize = Callable[[DataFrame], DataFrame]
-
 KEY = "listing_id"
 NARROW = [KEY, "lon", "lat", "state_prov_short", "close_dt"]
 # decides which of several rows of one listing stays
@@ -178,10 +176,10 @@ def one_row_per_listing(base: DataFrame, located: DataFrame) -> DataFrame:
     return dedupe_by_id(joined, KEY, ROW_ORDER)
 
 
-def add_location(base: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+def add_location(base: DataFrame, dims: Mapping[str, DataFrame], materialize: Materialize = stage) -> DataFrame:
     """Block group, metro name and code; one row per listing."""
     located = enrich_location(base.select(KEY, "lon", "lat", "state_prov_short"), dims["block_groups"],
-                              dims["metro_areas"])
+                              dims["metro_areas"], materialize)
     return one_row_per_listing(base, located)
 
 
@@ -213,10 +211,10 @@ def add_economy(df: DataFrame, dims: Mapping[str, DataFrame], date_col: str = "c
     return joined.join(areas.select(KEY), KEY)
 
 
-def add_schools(df: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+def add_schools(df: DataFrame, dims: Mapping[str, DataFrame], materialize: Materialize = stage) -> DataFrame:
     """School measures of three levels; listings without any school are dropped."""
     where = df.select(KEY, "lon", "lat", "state_prov_short").distinct()
-    return df.join(assign_schools(where, dims["schools"]), KEY)
+    return df.join(assign_schools(where, dims["schools"], materialize), KEY)
 
 
 def _finished(df: DataFrame, quarter_trend: DataFrame, state_trend: DataFrame, how: str) -> DataFrame:
@@ -241,11 +239,12 @@ def _complete(df: DataFrame) -> DataFrame:
 def sold_raw(base: DataFrame, dims: Mapping[str, DataFrame], materialize: Materialize = stage) -> DataFrame:
     """Sold feature table with identifiers. Enrichment runs on narrow rows (see the module text)."""
     keys = base.select(NARROW)
-    located = enrich_location(keys.drop("close_dt"), dims["block_groups"], dims["metro_areas"])
+    located = enrich_location(keys.drop("close_dt"), dims["block_groups"], dims["metro_areas"],
+                              materialize)
     chosen = materialize(one_row_per_listing(base, located))
     narrow = chosen.select(*NARROW, "GEOID")
     enriched = materialize(add_economy(add_demographics(narrow, dims, bounded=True), dims))
-    enriched = ft.calendar_parts(add_schools(enriched, dims), "close_dt")
+    enriched = ft.calendar_parts(add_schools(enriched, dims, materialize), "close_dt")
     trended = _finished(enriched, dims["quarter_trend"], dims["state_trend"], "inner")
     added = trended.drop("longitude", "latitude", "state_prov_short", "close_dt", "GEOID")
     wide = chosen.join(added, KEY)
@@ -269,11 +268,12 @@ def notsold_raw(base: DataFrame, dims: Mapping[str, DataFrame], as_of: date, iso
     ``iso_year`` joins the trends by the ISO year of ``as_of`` instead of its calendar year; the two differ only around
     New Year.
     """
-    located = enrich_location(base.select(NARROW[:-1]), dims["block_groups"], dims["metro_areas"])
+    located = enrich_location(base.select(NARROW[:-1]), dims["block_groups"], dims["metro_areas"],
+                              materialize)
     chosen = materialize(one_row_per_listing(ft.stamp_as_of(base, as_of), located))
     narrow = chosen.select(*NARROW, "GEOID")
     enriched = materialize(add_economy(add_demographics(narrow, dims, bounded=False), dims))
-    enriched = ft.calendar_parts(add_schools(enriched, dims), "close_dt")
+    enriched = ft.calendar_parts(add_schools(enriched, dims, materialize), "close_dt")
     if iso_year:
         enriched = enriched.withColumn("close_year", sc.iso_year("close_dt"))
     trended = _finished(enriched, dims["quarter_trend"], dims["state_trend"], "left")
@@ -303,10 +303,10 @@ def build_notsold_features(listings: DataFrame, dims: Mapping[str, DataFrame], k
 def sold_stages(base: DataFrame, dims: Mapping[str, DataFrame], materialize: Materialize = stage
                 ) -> dict[str, DataFrame]:
     """The wide stage tables one after the other, for users who keep each of them."""
-    located = materialize(add_location(base, dims))
+    located = materialize(add_location(base, dims, materialize))
     demographics = materialize(add_demographics(located, dims, bounded=True))
     economy = materialize(add_economy(demographics, dims))
-    schools = ft.fallback_column(add_schools(economy, dims), "full_bathroom_count", "total_bathroom_count",
+    schools = ft.fallback_column(add_schools(economy, dims, materialize), "full_bathroom_count", "total_bathroom_count",
                                  "full_bathroom_count")
     schools = materialize(schools)
     dated = ft.calendar_parts(flt.require_complete(schools.drop(*_DROPPED_BY_RAW), COMPLETE), "close_dt")

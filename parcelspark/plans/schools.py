@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from parcelspark.functions.geometry import sphere_distance_m
 from parcelspark.functions.scalars import round_half_up
-from parcelspark.operators.spatial import nearest_school_in_state, spatial_join
+from parcelspark.operators.spatial import Materialize, nearest_school_in_state, spatial_join
 from parcelspark.operators.windows import top1
+from parcelspark.sources.tables import stage
 from parcelspark.plans.listing_rules import PUBLIC_SCHOOL, SCHOOL_LEVELS, SCHOOL_MEASURES
 
 
@@ -21,7 +22,7 @@ def public_schools(schools: DataFrame) -> DataFrame:
     return public.withColumn("levels", levels).filter(F.size("levels") > 0)
 
 
-def assign_schools(listings: DataFrame, schools: DataFrame) -> DataFrame:
+def assign_schools(listings: DataFrame, schools: DataFrame, materialize: Materialize = stage) -> DataFrame:
     """``listing_id`` and distance (km), pupils per teacher, poverty level and percentile for each of three levels.
 
     All levels go through one zone join, one nearest search (its groups are state and level) and one aggregate by
@@ -35,7 +36,7 @@ def assign_schools(listings: DataFrame, schools: DataFrame) -> DataFrame:
     hits = hits.select("listing_id", F.explode("levels").alias("level"), "obj_id", *SCHOOL_MEASURES,
                        sphere_distance_m("lon", "lat", "longitude", "latitude").alias("distance"))
     best = top1(hits, ["listing_id", "level"], [F.col("pctile_y1").desc_nulls_last(), "obj_id"])
-    best = best.select("listing_id", "level", "distance", *SCHOOL_MEASURES)
+    best = materialize(best.select("listing_id", "level", "distance", *SCHOOL_MEASURES))
 
     wanted = where.withColumn("level", F.explode(F.array(*[F.lit(v) for v in SCHOOL_LEVELS])))
     missing = wanted.join(best.select("listing_id", "level"), ["listing_id", "level"], "left_anti")
@@ -44,7 +45,7 @@ def assign_schools(listings: DataFrame, schools: DataFrame) -> DataFrame:
         "place", F.concat_ws("|", "state_prov", "level"))
     nearest = nearest_school_in_state(
         missing.filter(F.col("state_prov_short").isNotNull()).withColumn("place", group),
-        candidates, "listing_id", "obj_id", "place", "lon", "lat", "longitude", "latitude")
+        candidates, "listing_id", "obj_id", "place", "lon", "lat", "longitude", "latitude", materialize=materialize)
     measures = candidates.select("place", "obj_id", "level", *SCHOOL_MEASURES).dropDuplicates(["place", "obj_id"])
     nearest = nearest.join(measures, ["place", "obj_id"])
     nearest = nearest.select("listing_id", "level", "distance", *SCHOOL_MEASURES)

@@ -173,14 +173,14 @@ def merge_flags(t):
     return ft.merge_flags(t.sql(GATED), ["a", "b"], "either")
 
 
-@query("drop_columns", "SELECT n_nationkey FROM {nation}")
+@query("drop_columns", "SELECT c_custkey, c_nationkey, c_acctbal FROM {customer}")
 def drop_columns(t):
-    return ft.drop_columns(t.nation, "n_name", "n_regionkey", "not_there")
+    return ft.drop_columns(t.customer, "c_name", "c_mktsegment", "not_there")
 
 
-@query("rename_columns", "SELECT n_nationkey AS id, n_name AS name, n_regionkey FROM {nation}")
+@query("rename_columns", "SELECT s_suppkey AS id, s_name AS name, s_nationkey, s_acctbal FROM {supplier}")
 def rename_columns(t):
-    return ft.rename_columns(t.nation, {"n_nationkey": "id", "n_name": "name"})
+    return ft.rename_columns(t.supplier, {"s_suppkey": "id", "s_name": "name"})
 
 
 @query("flatten_struct", "SELECT c_custkey, c_name AS name, c_acctbal AS balance FROM {customer}")
@@ -224,9 +224,9 @@ def age_at_listing(t):
         "o_orderkey", "building_years_old")
 
 
-@query("stamp_as_of", "SELECT n_nationkey, DATE '2021-01-01' AS close_dt FROM {nation}")
+@query("stamp_as_of", "SELECT c_custkey, DATE '2021-01-01' AS close_dt FROM {customer}")
 def stamp_as_of(t):
-    return ft.stamp_as_of(t.nation.select("n_nationkey"), date(2021, 1, 1))
+    return ft.stamp_as_of(t.customer.select("c_custkey"), date(2021, 1, 1))
 
 
 @query("scale_round", """SELECT o_orderkey, floor(o_totalprice / 1000e0 * 100e0 + 5e-1) / 100e0 AS o_totalprice

@@ -28,10 +28,9 @@ def filter_allowlist_ci(t):
 
 
 @query("filter_exclude_categories",
-       f"SELECT * FROM {NULLED} WHERE category NOT IN ('A') AND original_category NOT IN ('F', 'A')")
+       f"SELECT * FROM {NULLED} WHERE category NOT IN ('A', 'F') AND original_category NOT IN ('A', 'F')")
 def filter_exclude_categories(t):
-    df = flt.filter_exclude_categories(t.sql(NULLING), ["category"], ["A"])
-    return flt.filter_exclude_categories(df, ["original_category"], ["F", "A"])
+    return flt.filter_exclude_categories(t.sql(NULLING), ["category", "original_category"], ["A", "F"])
 
 
 @query("filter_flag", f"SELECT * FROM {NULLED} WHERE is_deleted = false")

@@ -91,7 +91,7 @@ def squared_sql(a: str, b: str) -> str:
 
 
 def metres_sql(squared: str) -> str:
-    return f"(12742020e0 * asin(least(1e0, sqrt({squared}) / 2e0)))"
+    return f"(CASE WHEN {squared} IS NOT NULL THEN 12742020e0 * asin(least(1e0, sqrt({squared}) / 2e0)) END)"
 
 
 def segment_sql(p: str, a: str, b: str) -> str:
