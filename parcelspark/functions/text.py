@@ -82,7 +82,13 @@ def words_of(c: str | Column) -> Column:
 
 
 def ngrams_of(words: Column, n: int) -> Column:
-    """Runs of ``n`` words; none when there are fewer."""
-    starts = F.sequence(F.lit(1), F.size(words) - F.lit(n - 1))
-    runs = F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
-    return F.when(F.size(words) >= n, runs).otherwise(F.array().cast("array<string>"))
+    """Runs of ``n`` words; none when there are fewer. Shifted copies are zipped, so the cost is linear."""
+    length = F.size(words) - F.lit(n - 1)
+
+    def shifted(k: int) -> Column:
+        return F.slice(words, k + 1, F.greatest(length, F.lit(0)))
+
+    runs = shifted(0)
+    for k in range(1, n):
+        runs = F.zip_with(runs, shifted(k), lambda a, b: F.concat_ws(" ", a, b))
+    return runs

@@ -16,8 +16,8 @@ before. Work is done once per occupied finest cell of the points, not per point:
 So no group is paired with itself in full, the result is exact, and a place that holds a large share of the points
 costs one lookup. Points travel as (id, x, y) rows; wide columns are joined back by id.
 
-Narrow tables that a plan reads twice go through ``materialize`` (by default they are persisted; pass a function that
-writes and reads back a table to keep them on shared storage instead). ``spark.catalog.clearCache()`` frees them.
+Narrow tables that a plan reads twice go through ``materialize``: by default they are written to the shared work folder
+and read back, so they are computed once, survive lost executors, and the next join sees their true size.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from parcelspark.functions import geometry as geo
 from parcelspark.operators.windows import top1
-from parcelspark.sources.tables import stage
+from parcelspark.sources.tables import written
 
 Materialize = Callable[[DataFrame], DataFrame]
 
@@ -74,7 +74,7 @@ def _filed_polygons(polygons: DataFrame, polygon: str) -> DataFrame:
 
 
 def spatial_join(points: DataFrame, polygons: DataFrame, lon: str, lat: str, polygon: str,
-                 levels: Sequence[int] | None = None, materialize: Materialize = stage) -> DataFrame:
+                 levels: Sequence[int] | None = None, materialize: Materialize = written) -> DataFrame:
     """Inner join of points with every polygon they lie in; the polygon column and its box are not kept.
 
     ``levels`` names the grid levels in use when known beforehand; otherwise one aggregate over the filed polygons
@@ -169,7 +169,7 @@ def _segment_index(segments: DataFrame) -> DataFrame:
 
 def nearest_segment(points: DataFrame, segments: DataFrame, point_id: str, candidate_id: str, group: str,
                     lon: str, lat: str, only_points: bool, out: str = "distance",
-                    materialize: Materialize = stage) -> DataFrame:
+                    materialize: Materialize = written) -> DataFrame:
     """For each point the nearest candidate of its group: ``(point_id, group, candidate_id, distance in metres)``.
 
     ``segments`` has ``group``, ``candidate_id`` and the end points ``lon1, lat1, lon2, lat2`` in degrees; a candidate
@@ -242,7 +242,7 @@ def nearest_segment(points: DataFrame, segments: DataFrame, point_id: str, candi
 
 
 def nearest_in_group(points: DataFrame, polygons: DataFrame, point_id: str, polygon_id: str, group: str, lon: str,
-                     lat: str, polygon: str, out: str = "distance", materialize: Materialize = stage) -> DataFrame:
+                     lat: str, polygon: str, out: str = "distance", materialize: Materialize = written) -> DataFrame:
     """The nearest polygon of the point's group, for points that lie in none: the nearest edge decides."""
     edges = polygons.select(group, polygon_id, F.explode(polygon).alias("edge"))
     segments = edges.select(group, polygon_id, F.col("edge.x1").alias("lon1"), F.col("edge.y1").alias("lat1"),
@@ -253,7 +253,7 @@ def nearest_in_group(points: DataFrame, polygons: DataFrame, point_id: str, poly
 
 def nearest_school_in_state(points: DataFrame, places: DataFrame, point_id: str, place_id: str, group: str, lon: str,
                             lat: str, place_lon: str, place_lat: str, out: str = "distance",
-                            materialize: Materialize = stage) -> DataFrame:
+                            materialize: Materialize = written) -> DataFrame:
     """The nearest place (such as a school of one level) in the point's group (such as its state)."""
     segments = places.select(group, place_id, F.col(place_lon).alias("lon1"), F.col(place_lat).alias("lat1"),
                              F.col(place_lon).alias("lon2"), F.col(place_lat).alias("lat2"))
@@ -262,7 +262,7 @@ def nearest_school_in_state(points: DataFrame, places: DataFrame, point_id: str,
 
 
 def contains_or_nearest(points: DataFrame, polygons: DataFrame, point_id: str, polygon_id: str, group: str, lon: str,
-                        lat: str, polygon: str, materialize: Materialize = stage) -> DataFrame:
+                        lat: str, polygon: str, materialize: Materialize = written) -> DataFrame:
     """``(point_id, polygon_id)``: every polygon a point lies in; for points in none, the nearest of their group."""
     located = spatial_join(points.select(point_id, lon, lat), polygons.select(polygon_id, polygon), lon, lat, polygon)
     located = materialize(located.select(point_id, polygon_id))

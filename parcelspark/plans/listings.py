@@ -27,13 +27,13 @@ from parcelspark.plans import listing_rules as rules
 from parcelspark.plans.location import enrich_location
 from parcelspark.plans.schools import assign_schools
 from parcelspark.sources.schemas import DEMOGRAPHICS
-from parcelspark.sources.tables import append_aligned, stage
+from parcelspark.sources.tables import append_aligned, written
 
 KEY = "listing_id"
 NARROW = [KEY, "lon", "lat", "state_prov_short", "close_dt"]
 # decides which of several rows of one listing stays
-ROW_ORDER = [F.col("virtual_tour_ind").desc(), "mls_id", "mls_number", "sa_mls_id", "address", "postal_code",
-             "living_area", "lot_size_area", "current_listing_price", "year_built", "photo_count"]
+TIES = ["mls_id", "mls_number", "sa_mls_id", "address", "postal_code", "living_area", "lot_size_area",
+        "current_listing_price", "year_built", "photo_count"]
 
 COMPLETE = [
     "city_long", "state_prov_short", "living_area", "total_bedroom_count", "full_bathroom_count",
@@ -173,10 +173,10 @@ def one_row_per_listing(base: DataFrame, located: DataFrame) -> DataFrame:
         "state_prov_short").eqNullSafe(F.col("at_state"))
     joined = base.alias("b").join(here.alias("h"), (F.col(f"b.{KEY}") == F.col(f"h.{KEY}")) & same)
     joined = joined.select("b.*", *[F.col(f"h.{c}") for c in here.columns if c not in (KEY, *at.values())])
-    return dedupe_by_id(joined, KEY, ROW_ORDER)
+    return dedupe_by_id(joined, KEY, [F.col("virtual_tour_ind").desc(), *TIES])
 
 
-def add_location(base: DataFrame, dims: Mapping[str, DataFrame], materialize: Materialize = stage) -> DataFrame:
+def add_location(base: DataFrame, dims: Mapping[str, DataFrame], materialize: Materialize = written) -> DataFrame:
     """Block group, metro name and code; one row per listing."""
     located = enrich_location(base.select(KEY, "lon", "lat", "state_prov_short"), dims["block_groups"],
                               dims["metro_areas"], materialize)
@@ -211,7 +211,7 @@ def add_economy(df: DataFrame, dims: Mapping[str, DataFrame], date_col: str = "c
     return joined.join(areas.select(KEY), KEY)
 
 
-def add_schools(df: DataFrame, dims: Mapping[str, DataFrame], materialize: Materialize = stage) -> DataFrame:
+def add_schools(df: DataFrame, dims: Mapping[str, DataFrame], materialize: Materialize = written) -> DataFrame:
     """School measures of three levels; listings without any school are dropped."""
     where = df.select(KEY, "lon", "lat", "state_prov_short").distinct()
     return df.join(assign_schools(where, dims["schools"], materialize), KEY)
@@ -236,7 +236,7 @@ def _complete(df: DataFrame) -> DataFrame:
     return flt.require_complete(bathed.drop(*_DROPPED_BY_RAW), COMPLETE)
 
 
-def sold_raw(base: DataFrame, dims: Mapping[str, DataFrame], materialize: Materialize = stage) -> DataFrame:
+def sold_raw(base: DataFrame, dims: Mapping[str, DataFrame], materialize: Materialize = written) -> DataFrame:
     """Sold feature table with identifiers. Enrichment runs on narrow rows (see the module text)."""
     keys = base.select(NARROW)
     located = enrich_location(keys.drop("close_dt"), dims["block_groups"], dims["metro_areas"],
@@ -256,13 +256,13 @@ def sold_final(raw: DataFrame) -> DataFrame:
 
 
 def build_sold_features(listings: DataFrame, dims: Mapping[str, DataFrame], kind: str, as_of: date,
-                        materialize: Materialize = stage) -> DataFrame:
+                        materialize: Materialize = written) -> DataFrame:
     """Training table of sold listings."""
     return sold_final(sold_raw(base_sold(listings, kind, as_of), dims, materialize))
 
 
 def notsold_raw(base: DataFrame, dims: Mapping[str, DataFrame], as_of: date, iso_year: bool = False,
-                materialize: Materialize = stage) -> DataFrame:
+                materialize: Materialize = written) -> DataFrame:
     """Scoring table with identifiers; every row is dated ``as_of``.
 
     ``iso_year`` joins the trends by the ISO year of ``as_of`` instead of its calendar year; the two differ only around
@@ -294,13 +294,13 @@ def notsold_final(filled: DataFrame) -> DataFrame:
 
 
 def build_notsold_features(listings: DataFrame, dims: Mapping[str, DataFrame], kind: str, as_of: date,
-                           iso_year: bool = False, materialize: Materialize = stage) -> DataFrame:
+                           iso_year: bool = False, materialize: Materialize = written) -> DataFrame:
     """Scoring table of listings still open."""
     raw = notsold_raw(base_notsold(listings, kind), dims, as_of, iso_year, materialize)
     return notsold_final(fill_trends(raw, dims, as_of))
 
 
-def sold_stages(base: DataFrame, dims: Mapping[str, DataFrame], materialize: Materialize = stage
+def sold_stages(base: DataFrame, dims: Mapping[str, DataFrame], materialize: Materialize = written
                 ) -> dict[str, DataFrame]:
     """The wide stage tables one after the other, for users who keep each of them."""
     located = materialize(add_location(base, dims, materialize))
@@ -316,7 +316,7 @@ def sold_stages(base: DataFrame, dims: Mapping[str, DataFrame], materialize: Mat
 
 
 def build_month_increment(listings: DataFrame, known: DataFrame, dims: Mapping[str, DataFrame], kind: str,
-                          as_of: date, materialize: Materialize = stage) -> dict[str, DataFrame]:
+                          as_of: date, materialize: Materialize = written) -> dict[str, DataFrame]:
     """Stage tables of the listings closed in the last three months whose id is not known yet, plus ``final``."""
     recent = base_sold(listings, kind, as_of, rules.INCREMENT_MONTHS, with_days_on_market=True)
     stages = sold_stages(materialize(join_not_in(recent, known, KEY)), dims, materialize)
@@ -336,7 +336,7 @@ def append_stages(stages: Mapping[str, DataFrame], targets: Mapping[str, str]) -
 
 
 def rebuild_from_base(base: DataFrame, dims: Mapping[str, DataFrame], sold: bool, as_of: date,
-                      materialize: Materialize = stage) -> DataFrame:
+                      materialize: Materialize = written) -> DataFrame:
     """The feature table from a saved base table."""
     if sold:
         return sold_final(sold_raw(base, dims, materialize))

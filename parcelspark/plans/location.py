@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from parcelspark.operators.features import cast_code_long, point_from_lonlat
 from parcelspark.operators.spatial import Materialize, contains_or_nearest, spatial_join
 from parcelspark.operators.windows import dedupe_by_id
-from parcelspark.sources.tables import stage
+from parcelspark.sources.tables import written
 
 SEPARATOR = "\u001f"  # does not occur in names
 PLACE = ["listing_id", "lon", "lat", "state_prov_short"]
 
 
 def enrich_location(listings: DataFrame, block_groups: DataFrame, metro_areas: DataFrame,
-                    materialize: Materialize = stage) -> DataFrame:
+                    materialize: Materialize = written) -> DataFrame:
     """``(listing_id, lon, lat, state_prov_short, GEOID, metropolitan_area_name, cbsa)``, one row per listing.
 
     A listing outside all block groups is dropped. The metro is one it lies in, else the nearest one of its state; a

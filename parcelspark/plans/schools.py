@@ -9,7 +9,7 @@ from parcelspark.functions.geometry import sphere_distance_m
 from parcelspark.functions.scalars import round_half_up
 from parcelspark.operators.spatial import Materialize, nearest_school_in_state, spatial_join
 from parcelspark.operators.windows import top1
-from parcelspark.sources.tables import stage
+from parcelspark.sources.tables import written
 from parcelspark.plans.listing_rules import PUBLIC_SCHOOL, SCHOOL_LEVELS, SCHOOL_MEASURES
 
 
@@ -22,7 +22,7 @@ def public_schools(schools: DataFrame) -> DataFrame:
     return public.withColumn("levels", levels).filter(F.size("levels") > 0)
 
 
-def assign_schools(listings: DataFrame, schools: DataFrame, materialize: Materialize = stage) -> DataFrame:
+def assign_schools(listings: DataFrame, schools: DataFrame, materialize: Materialize = written) -> DataFrame:
     """``listing_id`` and distance (km), pupils per teacher, poverty level and percentile for each of three levels.
 
     All levels go through one zone join, one nearest search (its groups are state and level) and one aggregate by

@@ -11,6 +11,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcelspark.session import scratch_path
 from parcelspark.sources.schemas import DIMENSIONS, LISTINGS
 
 
@@ -53,6 +54,17 @@ def stage(df: DataFrame, name: str | None = None) -> DataFrame:
     return kept
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a table of its own in the shared work folder: computed once, whatever reads it later.
+
+    Unlike ``persist`` it outlives lost executors, cuts the plan, and gives Spark the true size for the joins that
+    follow.
+    """
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def append_aligned(df: DataFrame, target: str) -> None:
     """Append to ``target``, columns matched by name and cast to the target's types.
 

@@ -1,0 +1,118 @@
+"""Message cleaning and classification on pages, documents, labels and conversations."""
+
+from pyspark.sql import functions as F
+
+from parcelspark.functions import text as tx
+from parcelspark.functions.scalars import round_half_up
+from parcelspark.operators import text as ot
+from parcelspark.sources.tables import written
+from suite.inputs import with_ctes
+from suite.registry import query
+
+
+def quoted(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def strip_sql(c: str) -> str:
+    for pattern in tx.HTML_REMOVALS:
+        c = f"regexp_replace({c}, {quoted(pattern)}, '', 'g')"
+    for _ in tx.REMOVED_ATTRIBUTES:
+        c = f"regexp_replace({c}, {quoted(tx.HTML_ATTRIBUTE)}, '\\1', 'g')"
+    for _ in range(tx.NESTING):
+        c = f"regexp_replace({c}, {quoted(tx.HTML_EMPTY)}, '', 'g')"
+    return c
+
+
+@query("strip_html", f"SELECT page_id, {strip_sql('html')} AS clean FROM {{pages}}")
+def strip_html(t):
+    return ot.strip_html(t.pages.select("page_id", "html"), "html", "clean").drop("html")
+
+
+MAIL = """SELECT conv_id, turn, CASE WHEN conv_id % 3 = 0 THEN text ELSE 'From: ' || role || '@mail' || chr(10) ||
+  'Subject: Turn ' || CAST(turn AS STRING) || chr(10) || 'X-Id: 5' || chr(10) || chr(10) || text END AS mail
+  FROM {conversations}"""
+
+
+@query("email_subject_body", f"""SELECT conv_id, turn,
+CASE WHEN headed THEN regexp_extract(mail, '(?mi)^subject:[ \\t]*([^\\n]*)$', 1) ELSE '' END AS subject,
+CASE WHEN NOT headed THEN mail WHEN strpos(mail, chr(10) || chr(10)) > 0
+ THEN substr(mail, strpos(mail, chr(10) || chr(10)) + 2) ELSE '' END AS body
+FROM (SELECT *, regexp_matches(mail, '^[A-Za-z-]+:[^\\n]*\\n') AS headed FROM ({MAIL}) m) x""")
+def email_subject_body(t):
+    return ot.email_subject_body(t.sql(MAIL), "mail").drop("mail")
+
+
+def scrub_sql(c: str) -> str:
+    c = f"translate({c}, {quoted(tx.ACCENTED)}, {quoted(tx.BASE)})"
+    for char, spelled in tx.SPELLED_OUT.items():
+        c = f"replace({c}, {quoted(char)}, {quoted(spelled)})"
+    return f"trim(regexp_replace(regexp_replace({c}, '[^\\x00-\\x7F]', '', 'g'), '\\s+', ' ', 'g'))"
+
+
+@query("scrub_text", f"SELECT doc_id, {scrub_sql('text')} AS plain FROM {{documents}}")
+def scrub_text(t):
+    return ot.scrub_text(t.documents.select("doc_id", "text"), "text", "plain").drop("text")
+
+
+TOKENS = """SELECT {0}, w, row_number() OVER (PARTITION BY {0} ORDER BY i) AS i FROM
+(SELECT {0}, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM
+ (SELECT {0}, string_split_regex(lower(text), '[^a-z0-9]+') AS words FROM {1}) s) u WHERE w <> ''"""
+
+
+@query("word_ngrams", with_ctes({"tok": TOKENS.format("conv_id, turn", "{conversations}")}, """
+SELECT conv_id, turn, w AS ngram FROM tok UNION ALL
+SELECT conv_id, turn, w || ' ' || nxt FROM (SELECT *, lead(w) OVER (PARTITION BY conv_id, turn ORDER BY i) AS nxt FROM tok) p
+WHERE nxt IS NOT NULL"""))
+def word_ngrams(t):
+    return ot.word_ngrams(t.conversations.select("conv_id", "turn", "text"), "text", (1, 2))
+
+
+@query("tfidf", with_ctes({"tok": TOKENS.format("doc_id", "{documents}"),
+                           "tf": "SELECT doc_id, w AS ngram, count(*) AS tf FROM tok GROUP BY doc_id, w",
+                           "df": "SELECT ngram, count(*) AS df FROM tf GROUP BY ngram",
+                           "n": "SELECT CAST(count(DISTINCT doc_id) AS DOUBLE) AS n FROM tok"}, """
+SELECT doc_id, tf.ngram, tf, df, floor(tf * ln((n + 1e0) / (df + 1e0)) * 1e6 + 5e-1) / 1e6 AS tfidf
+FROM tf JOIN df ON tf.ngram = df.ngram, n"""))
+def tfidf(t):
+    terms = ot.word_ngrams(t.documents.select("doc_id", "text"), "text", (1,))
+    return ot.tfidf(terms, "doc_id", "ngram").withColumn("tfidf", round_half_up("tfidf", 6))
+
+
+def labelled(t):
+    docs = ot.scrub_text(t.documents.select("doc_id", "text").join(t.labels, "doc_id"), "text", "plain")
+    split = docs.select("doc_id", F.col("toxic").alias("label"), tx.words_of("plain").alias("single"))
+    words = F.concat("single", tx.ngrams_of(F.col("single"), 2))
+    # training passes over the rows many times
+    return written(split.select("doc_id", "label", words.alias("words")))
+
+
+@query("train_message_classifier")
+def train_message_classifier(t):
+    rows = labelled(t)
+    outs = []
+    for kind in ("elastic_net", "naive_bayes"):
+        model = ot.train_message_classifier(rows, "words", kind=kind)
+        outs.append(model.transform(rows).select("doc_id", "label", "prediction", F.lit(kind).alias("kind")))
+    return outs[0].unionByName(outs[1])
+
+
+@query("classification_metrics", """SELECT lang, count(*) AS n,
+CAST(tp AS DOUBLE) / nullif(tp + fn, 0) AS recall, CAST(tp AS DOUBLE) / nullif(tp + fp, 0) AS precision,
+CAST(ok AS DOUBLE) / n AS accuracy, 2e0 * tp / nullif(2 * tp + fp + fn, 0) AS f1 FROM (
+SELECT lang, count(*) AS n, count(*) FILTER (quality = 1 AND p = 1) AS tp, count(*) FILTER (quality <> 1 AND p = 1) AS fp,
+ count(*) FILTER (quality = 1 AND p <> 1) AS fn, count(*) FILTER ((quality = 1) = (p = 1)) AS ok FROM
+ (SELECT d.lang, l.quality, d.n_chars % 2 AS p FROM {labels} l JOIN {documents} d ON l.doc_id = d.doc_id) x GROUP BY lang) y
+""".replace("SELECT lang, count(*) AS n,\nCAST(tp", "SELECT lang, n,\nCAST(tp"))
+def classification_metrics(t):
+    rows = t.labels.join(t.documents, "doc_id").withColumn("p", F.col("n_chars") % 2)
+    return ot.classification_metrics(rows, ["lang"], "quality", "p")
+
+
+@query("union_labelled_sources", """
+SELECT text, 'documents' AS source_name, 0 AS label FROM {documents} UNION ALL
+SELECT html, 'pages', 1 FROM {pages} UNION ALL SELECT text, 'conversations', 1 FROM {conversations}""")
+def union_labelled_sources(t):
+    return ot.union_labelled_sources({
+        "documents": t.documents.select("text"), "pages": t.pages.select(F.col("html").alias("text")),
+        "conversations": t.conversations.select("text")}, bad=["pages", "conversations"])
