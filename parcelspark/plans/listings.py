@@ -22,7 +22,7 @@ from parcelspark.operators.aggregates import max_per_group
 from parcelspark.operators.joins import backfill_latest, join_dimensions_left, join_not_in, join_time_trend
 from parcelspark.operators.setops import sample_fraction
 from parcelspark.operators.spatial import Materialize, key_else_spatial, spatial_join
-from parcelspark.operators.windows import dedupe_by_id
+from parcelspark.operators.windows import top1
 from parcelspark.plans import listing_rules as rules
 from parcelspark.plans.location import enrich_location
 from parcelspark.plans.schools import assign_schools
@@ -165,15 +165,14 @@ def base_notsold(listings: DataFrame, kind: str) -> DataFrame:
 def one_row_per_listing(base: DataFrame, located: DataFrame) -> DataFrame:
     """Base rows at the chosen location of their listing, one per listing, with the location columns.
 
-    ``located`` holds one row per listing; both sides end up partitioned by listing id, and the window uses that.
+    ``located`` holds one row per listing. The base is reduced to one row per listing and place first: copies of one
+    listing, however many, leave each input task as a single row, and the join reuses that partitioning.
     """
-    at = {"lon": "at_lon", "lat": "at_lat", "state_prov_short": "at_state"}
-    here = located.withColumnsRenamed(at)
-    same = (F.col("lon") == F.col("at_lon")) & (F.col("lat") == F.col("at_lat")) & F.col(
-        "state_prov_short").eqNullSafe(F.col("at_state"))
-    joined = base.alias("b").join(here.alias("h"), (F.col(f"b.{KEY}") == F.col(f"h.{KEY}")) & same)
-    joined = joined.select("b.*", *[F.col(f"h.{c}") for c in here.columns if c not in (KEY, *at.values())])
-    return dedupe_by_id(joined, KEY, [F.col("virtual_tour_ind").desc(), *TIES])
+    state = F.coalesce("state_prov_short", F.lit(""))
+    place = [KEY, "lon", "lat", "at_state"]
+    single = top1(base.withColumn("at_state", state), place, [F.col("virtual_tour_ind").desc(), *TIES])
+    here = located.withColumn("at_state", state).drop("state_prov_short")
+    return single.join(here, place).drop("at_state")
 
 
 def add_location(base: DataFrame, dims: Mapping[str, DataFrame], materialize: Materialize = written) -> DataFrame:
