@@ -29,7 +29,7 @@ HTML_REMOVALS = (
 _VALUE = r"""(?:"[^"<>]*"|'[^'<>]*'|[^\s"'<>]+)"""
 HTML_ATTRIBUTE = (rf"""(?is)(<[a-z][a-z0-9]*(?:\s+[^\s=<>"']+(?:\s*=\s*{_VALUE})?)*?)"""
                   rf"""\s+(?:{_ATTRIBUTE_NAMES})\s*=\s*{_VALUE}""")
-HTML_EMPTY = "(?is)" + "|".join(rf"<{tag}(?:\s[^<>]*)?>\s*</{tag}\s*>" for tag in EMPTIABLE_ELEMENTS)
+HTML_EMPTY = rf"(?is)<({'|'.join(EMPTIABLE_ELEMENTS)})(?:\s[^<>]*)?>\s*</\1\s*>"
 NESTING = 6
 
 

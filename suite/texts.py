@@ -14,13 +14,17 @@ def quoted(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+# DuckDB's expressions have no back-references: one alternative per element instead
+EMPTY_SQL = "(?is)" + "|".join(rf"<{tag}(?:\s[^<>]*)?>\s*</{tag}\s*>" for tag in tx.EMPTIABLE_ELEMENTS)
+
+
 def strip_sql(c: str) -> str:
     for pattern in tx.HTML_REMOVALS:
         c = f"regexp_replace({c}, {quoted(pattern)}, '', 'g')"
     for _ in tx.REMOVED_ATTRIBUTES:
         c = f"regexp_replace({c}, {quoted(tx.HTML_ATTRIBUTE)}, '\\1', 'g')"
     for _ in range(tx.NESTING):
-        c = f"regexp_replace({c}, {quoted(tx.HTML_EMPTY)}, '', 'g')"
+        c = f"regexp_replace({c}, {quoted(EMPTY_SQL)}, '', 'g')"
     return c
 
 
