@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, NaiveBayes
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from parcelspark.functions import text as tx
 from parcelspark.operators.setops import union_all
+from parcelspark.sources.tables import written
 
 
 def strip_html(df: DataFrame, col: str, out: str) -> DataFrame:
@@ -40,15 +41,15 @@ def word_ngrams(df: DataFrame, col: str, sizes: Sequence[int] = (1, 2), out: str
     return words.select(*[c for c in words.columns if c != "words_of_text"], F.explode(runs).alias(out))
 
 
-def tfidf(terms: DataFrame, doc: str, term: str) -> DataFrame:
+def tfidf(terms: DataFrame, doc: str, term: str, materialize: Callable[[DataFrame], DataFrame] = written) -> DataFrame:
     """``(doc, term, tf, df, tfidf)`` with ``idf = ln((N + 1) / (df + 1))``; one input row per occurrence.
 
-    Counts combine before the shuffle. The join by term meets few rows per term on the ``df`` side; a term that is in
+    Counts combine before the shuffle and are kept, so the texts are split once. The join by term meets few rows per term on the ``df`` side; a term that is in
     most documents makes one hot key on the other side, which Spark broadcasts around or AQE splits.
     """
-    tf = terms.groupBy(doc, term).agg(F.count(F.lit(1)).alias("tf"))
+    tf = materialize(terms.groupBy(doc, term).agg(F.count(F.lit(1)).alias("tf")))
     df = tf.groupBy(term).agg(F.count(F.lit(1)).alias("df"))
-    total = terms.agg(F.count_distinct(doc).alias("documents")).first()["documents"]
+    total = tf.select(doc).distinct().count()
     idf = F.log((F.lit(float(total)) + 1.0) / (F.col("df") + 1.0))
     return tf.join(df, term).select(doc, term, "tf", "df", (F.col("tf") * idf).alias("tfidf"))
 
