@@ -34,6 +34,10 @@ def build_session(app: str = "parcelspark", master: str | None = None, shuffle_p
     return builder.getOrCreate()
 
 
+#: Work folders made for local sessions without a shared one, by application id.
+_OWN: dict[str, str] = {}
+
+
 def work_dir(spark: SparkSession) -> str:
     """The shared folder of the cluster (``spark.checkpoint.dir``).
 
@@ -43,11 +47,12 @@ def work_dir(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    own = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    if context.applicationId not in _OWN:
+        _OWN[context.applicationId] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return _OWN[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
