@@ -39,7 +39,7 @@ def line_fails(line: Column, again: Column, rules: Rules) -> Column:
         | (bars >= rules.menu_bars)  # navigation
         | (symbols > rules.symbol_share * chars)
         | (long & (line == F.upper(line)) & (line != small))  # shouting
-        | (long & ~F.rtrim(line).rlike(r"[.!?…:;\"'”»)\]。]$"))  # no end of a sentence
+        | (long & ~line.rlike(r"[.!?…:;\"'”»)\]。]( |$)"))  # no end of a sentence or clause
         | ((F.size(words) >= 10) & (F.size(F.array_distinct(words)) < rules.one_word_share * F.size(words)))
         | small.rlike("|".join(BOILERPLATE))
     )
@@ -119,7 +119,7 @@ WITH d AS (
   SELECT *, (bare <> '' AND again) OR length(line) - length(replace(line, '|', '')) >= 3
     OR length(line) - length(regexp_replace(line, '[#*$%&|<>]', '', 'g')) > 0.1::DOUBLE * length(bare)
     OR (len(words) >= 4 AND line = upper(line) AND line <> lower(line))
-    OR (len(words) >= 4 AND NOT regexp_matches(rtrim(line, ' '), '[.!?…:;"''”»)\]。]$'))
+    OR (len(words) >= 4 AND NOT regexp_matches(line, '[.!?…:;"''”»)\]。]( |$)'))
     OR (len(words) >= 10 AND len(list_distinct(words)) < 0.3::DOUBLE * len(words))
     OR regexp_matches(lower(line), 'javascript|cookie|privacy policy|terms of use|terms of service|sign in|log in|click here|all rights reserved|subscribe|lorem ipsum')
     AS fails

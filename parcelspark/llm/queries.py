@@ -6,15 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelspark.llm import chat, decontaminate, mixing, quality
+from parcelspark.llm import chat, decontaminate, licenses, mixing, near_dedup, quality, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_benchmark_decontamination": decontaminate.op1_benchmark_decontamination,
+        "op2_license_scans": licenses.op2_license_scans,
         "op3_quality_rules": quality.op3_quality_rules,
         "op4_mixing": mixing.op4_mixing,
         "op6_chat_formatting": chat.op6_chat_formatting,
+        "op9_near_dedup": near_dedup.op9_near_dedup,
+        "op10_toxicity": toxicity.op10_toxicity,
     }
 
 
