@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelspark.llm.graph import components
-from parcelspark.llm.texts import STEP, U64, Words, grams, mixed, slices, texts_of
+from parcelspark.llm.texts import STEP, U64, Words, grams, mixed, slices, texts_of, times
 from parcelspark.sources.tables import written
 
 
@@ -39,7 +39,8 @@ class Shingles:
             text, h = np.concatenate([text, short]), np.concatenate([h, np.array(own, U64)])
         key = mixed(h ^ (text.astype(U64) * STEP))
         order = np.argsort(key)
-        new = np.flatnonzero(np.diff(key[order], prepend=key[order][:1] + U64(1)))
+        ordered = key[order]
+        new = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])[:len(ordered)])
         self.n_words = w.count
         self.text, self.hash = text[order][new], h[order][new]
         times = np.diff(np.append(new, len(order)))
@@ -72,12 +73,12 @@ def dart_signatures(s: Shingles, n_texts: int, k: int) -> np.ndarray:
         while len(alive):
             e = alive
             width = 2.0 ** band
-            state = mixed(s.hash[e] + U64(band + 1) * STEP)
+            state = mixed(s.hash[e] + times(band + 1))
             rank = np.zeros(len(e))
             throw = 0
             while len(e):
                 throw += 1
-                dart = mixed(state + U64(throw) * STEP)
+                dart = mixed(state + times(throw))
                 rank = rank - np.log(uniform(dart)) / width
                 on = rank < limit[s.text[e]]
                 e, state, rank, dart = e[on], state[on], rank[on], dart[on]
@@ -113,7 +114,7 @@ def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
                 sums = []
                 for salt in (1, 2):
                     x = np.zeros(n, U64)
-                    np.add.at(x, s.text, mixed(weighed + U64(salt) * STEP))
+                    np.add.at(x, s.text, mixed(weighed + times(salt)))
                     sums.append(pa.array(x.view(np.int64)))
                 band = grams_of_rows(signed, settings)
                 size = np.bincount(s.text, minlength=n)

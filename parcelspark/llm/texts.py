@@ -47,6 +47,11 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def times(n: int) -> np.uint64:
+    """``n`` steps, modulo 2^64."""
+    return U64(n * int(STEP) % 2 ** 64)
+
+
 class Words:
     """Words between white space of several texts: start, end (bytes in ``data``), text (its number), hash.
 

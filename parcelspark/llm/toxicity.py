@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 
 from parcelspark.llm.columns import remainder_of_id
 from parcelspark.llm.texts import PLAIN, texts_of
+from parcelspark.sources.tables import written
 
+#: Bytes of a word's stem.
+STEM = 4
 SCORED = "doc_id bigint, best double, n_significant bigint, passages array<struct<start:bigint,end:bigint,score:double>>"
 
 
@@ -31,7 +34,7 @@ class Settings:
 
 @dataclass(frozen=True)
 class Model:
-    odds: dict[bytes, float]
+    odds: dict[bytes, float]  # of words, and of stems after a ^
     decay: float  # lambda of the extreme-value law of the best segment
     weights: tuple[float, float, float]  # of 1, the best normalised score and log(1 + significant passages)
     settings: Settings
@@ -69,9 +72,14 @@ def segments(hits: list[tuple[int, float]], drift: float) -> list[tuple[int, int
     return [(s, e, after - before) for s, e, before, after in stack]
 
 
-def _measures(text: bytes, odds: dict, decay: float, settings: Settings) -> tuple[float, int, list]:
+def features(words: list[bytes]) -> list[bytes]:
+    """Words and, of longer ones, the stems: abuse takes many endings."""
+    return words + [b"^" + w[:STEM] for w in words if len(w) > STEM]
+
+
+def _measures(text: bytes, odds: dict, stems: dict, decay: float, settings: Settings) -> tuple[float, int, list]:
     words = text.translate(PLAIN).split()
-    hits = [(i, s) for i, s in enumerate(map(odds.get, words)) if s is not None]
+    hits = [(i, odds.get(w) or stems[w[:STEM]]) for i, w in enumerate(words) if w in odds or w[:STEM] in stems and len(w) > STEM]
     if not hits:
         return 0.0, 0, []
     chance = math.log(len(words) + 1) / 2
@@ -85,8 +93,9 @@ def measure(docs: DataFrame, odds: dict[bytes, float], decay: float, settings: S
     """One row per row of ``docs``: doc_id, best, n_significant, passages."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         passage = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
+        stems = {w[1:]: s for w, s in odds.items() if w.startswith(b"^")}
         for batch in batches:
-            rows = [_measures(t, odds, decay, settings) for t in texts_of(batch.column(1))]
+            rows = [_measures(t, odds, stems, decay, settings) for t in texts_of(batch.column(1))]
             best, n, passages = zip(*rows) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(best, pa.float64()), pa.array(n, pa.int64()), pa.array(passages, passage)],
@@ -118,7 +127,7 @@ def word_counts(sample: DataFrame) -> DataFrame:
             for label in (0, 1):
                 n, docs = Counter(), Counter()
                 for text in (t for t, y in zip(texts, toxic) if y == label):
-                    words = text.translate(PLAIN).split()
+                    words = features(text.translate(PLAIN).split())
                     n.update(words)
                     docs.update(set(words))
                 words = list(n)
@@ -136,8 +145,6 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
 
     Without labels of both classes nothing is learnt and every score is that of the share of toxic rows, or 0.
     """
-    from parcelspark.sources.tables import written
-
     sample = written(labelled_sample(docs, labels, settings))
     by_word = word_counts(sample).groupBy("word").agg(
         *[F.sum(F.when(F.col("toxic") == y, F.col("n")).otherwise(0)).alias(f"n{y}") for y in (0, 1)],
@@ -211,6 +218,21 @@ def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
                                       "passages array<struct<start:bigint,end:bigint,score:double>>")
 
 
+def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` that are not predicted to be toxic, as they came; nothing is shuffled."""
+    names = list(docs.columns)
+    at = names.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stems = {w[1:]: s for w, s in model.odds.items() if w.startswith(b"^")}
+        for b in batches:
+            rows = [_measures((t or "").encode(), model.odds, stems, model.decay, model.settings) for t in b.column(at).to_pylist()]
+            best, n = (np.array([r[i] for r in rows], float) for i in (0, 1))
+            yield b.filter(pa.array(model.score(best, n) < 0.5))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def op10_toxicity(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
