@@ -66,8 +66,8 @@ def segment_bounds(length: np.ndarray, parts: int, k: int) -> tuple[np.ndarray,
     return k * size + np.maximum(0, k - short), size + (k >= short)
 
 
-def segment_rows(docs: DataFrame, settings: Settings) -> DataFrame:
-    """key, line, marks, probe: segments of lines (probe false), and the substrings that a line looks up (probe true).
+def segment_rows(docs: DataFrame, settings: Settings, probe: bool) -> DataFrame:
+    """key, line, marks: the segments of lines, or with ``probe`` the substrings that a line looks up.
 
     A line looks for segments of lines of its own length and of up to ``edits`` bytes less; a substring is looked up only where
     the edits left of it and right of it can add up. Copies of a line within a slice of texts give their rows once.
@@ -86,27 +86,28 @@ def segment_rows(docs: DataFrame, settings: Settings) -> DataFrame:
                 sums = np.append(U64(0), np.cumsum((raw.astype(U64) + U64(1)) * powers(len(raw), FACTOR)))
                 back = powers(len(raw) + 1, INVERSE)
 
-                def rows(at, size, of_length, k, rows_of, probe):
+                def rows(at, size, of_length, k, rows_of):
                     h = (sums[at + size] - sums[at]) * back[at]
                     key = mixed(mixed(h) + of_length.astype(U64) * STEP + times(k + 1))
-                    n = len(key)
                     return pa.RecordBatch.from_arrays(
                         [pa.array(key.view(np.int64)), pa.array(line[rows_of].view(np.int64)),
-                         pa.array(marks[rows_of].view(np.int64)), pa.array(np.full(n, probe))], ["key", "line", "marks", "probe"])
+                         pa.array(marks[rows_of].view(np.int64))], ["key", "line", "marks"])
 
                 for k in range(parts):
-                    at, size = segment_bounds(length, parts, k)
-                    yield rows(start + at, size, length, k, slice(None), False)
+                    if not probe:
+                        at, size = segment_bounds(length, parts, k)
+                        yield rows(start + at, size, length, k, slice(None))
+                        continue
                     for less in range(edits + 1):
                         at, size = segment_bounds(length - less, parts, k)
                         low = max(-k, less - (edits - k))
                         high = min(k, less + (edits - k))
                         for shift in range(low, high + 1):
                             ok = np.flatnonzero((at + shift >= 0) & (at + shift + size <= length))
-                            yield rows((start + at + shift)[ok], size[ok], (length - less)[ok], k, ok, True)
+                            yield rows((start + at + shift)[ok], size[ok], (length - less)[ok], k, ok)
 
     return docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(
-        cut, "key bigint, line bigint, marks bigint, probe boolean")
+        cut, "key bigint, line bigint, marks bigint")
 
 
 def within(a: bytes, b: bytes, edits: int) -> bool:
@@ -154,9 +155,8 @@ def within(a: bytes, b: bytes, edits: int) -> bool:
 
 def near_lines(docs: DataFrame, firsts: DataFrame, settings: Settings) -> DataFrame:
     """Links (a, b) between keys of different lines within ``edits``."""
-    rows = segment_rows(docs, settings)
-    x = rows.filter(~F.col("probe")).select("key", F.col("line").alias("a"), F.col("marks").alias("a_marks"))
-    y = rows.filter("probe").select("key", F.col("line").alias("b"), F.col("marks").alias("b_marks"))
+    x = segment_rows(docs, settings, False).select("key", F.col("line").alias("a"), F.col("marks").alias("a_marks"))
+    y = segment_rows(docs, settings, True).select("key", F.col("line").alias("b"), F.col("marks").alias("b_marks"))
     differ = x.a_marks.bitwiseXOR(y.b_marks)
     # the marks are part of the join: far lines that share a common segment give no row
     may = (F.bit_count(differ.bitwiseAND(F.lit(0xFFFFFFFF))) <= 2 * settings.edits) \
