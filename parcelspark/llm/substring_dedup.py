@@ -18,7 +18,8 @@ from parcelspark.sources.tables import written
 class Settings:
     window: int = 20
     prefix: int = 8  # words of the shortest prefix
-    group_rows: int = 5_000  # a prefix met more often goes on to prefixes of the whole window
+    copies_from: int = 1_000  # runs under a prefix met more often are first reduced to different ones
+    group_rows: int = 20_000  # different runs under a prefix; beyond, prefixes of whole windows take its place
 
 
 def prefixes(w: Words, settings: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -59,14 +60,14 @@ def selected(docs: DataFrame, settings: Settings) -> DataFrame:
     return docs.mapInArrow(choose, "doc_id bigint, prefix bigint, n int")
 
 
-SUFFIXES = "large boolean, k1 bigint, k2 bigint, doc_id bigint, start bigint, n bigint, words binary"
+SUFFIXES = "large boolean, prefix bigint, doc_id bigint, start bigint, n bigint, words binary"
+SUFFIX_NAMES = [x.split()[0] for x in SUFFIXES.split(", ")]
 
 
 def suffixes(docs: DataFrame, settings: Settings) -> DataFrame:
-    """Runs of windows whose prefix is met elsewhere too: prefix, doc_id, start, n (windows) and the words themselves.
+    """Runs of windows whose prefix is met elsewhere too: large, prefix, doc_id, start, n (windows) and the words themselves.
 
-    ``docs`` has doc_id, text, live (repeated prefixes) and large (those of them that fill a group). Windows of large prefixes
-    come one by one, under the hash of all their words.
+    ``docs`` has doc_id, text, live (repeated prefixes) and large (the frequent ones of them).
     """
     size = settings.window
 
@@ -78,36 +79,44 @@ def suffixes(docs: DataFrame, settings: Settings) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = texts_of(batch.column(1))
-            ids, live, large = (batch.column(i).to_pylist() for i in (0, 2, 3))
+            live, large = (batch.column(i).to_pylist() for i in (2, 3))
             for a, b in slices(texts):
                 w = Words(texts[a:b])
                 at, prefix, _ = prefixes(w, settings)
                 own = mixed(prefix ^ (w.text[at].astype(U64) * STEP))
                 alive = np.isin(own, keys(live[a:b], b - a))
-                big = alive & np.isin(own, keys(large[a:b], b - a))
-                place = at[big]
-                k1, k2 = grams(w.hash, size)[place], grams(w.hash, size, 7)[place]
-                n = len(place)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, True)), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)),
-                     pa.array([ids[a + t] for t in w.text[place]], pa.int64()), pa.array(place - w.first[w.text[place]]),
-                     pa.array(np.ones(n, np.int64)), pa.nulls(n, pa.binary())], SUFFIX_NAMES)
-                place, prefix = at[alive & ~big], prefix[alive & ~big]
+                big = np.isin(own, keys(large[a:b], b - a))[alive]
+                place, prefix = at[alive], prefix[alive]
                 new = np.append(True, (np.diff(place) != 1) | (prefix[1:] != prefix[:-1]))[:len(place)]
                 first = np.flatnonzero(new)
                 n = np.diff(np.append(first, len(place)))
                 s = place[first]
-                words = [w.data[i:j] for i, j in zip(w.start[s], w.end[s + n + size - 2])]
+                # one blank between words, so that equal words are equal bytes
+                words = [b" ".join(w.data[i:j].split()) for i, j in zip(w.start[s], w.end[s + n + size - 2])]
                 text = w.text[s]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(s), False)), pa.array(prefix[first].view(np.int64)), pa.array(np.zeros(len(s), np.int64)),
-                     pa.array([ids[a + t] for t in text], pa.int64()), pa.array(s - w.first[text]), pa.array(n.astype(np.int64)),
-                     pa.array(words, pa.binary())], SUFFIX_NAMES)
+                    [pa.array(big[first]), pa.array(prefix[first].view(np.int64)), batch.column(0).slice(a, b - a).take(pa.array(text)),
+                     pa.array(s - w.first[text]), pa.array(n.astype(np.int64)), pa.array(words, pa.binary())], SUFFIX_NAMES)
 
     return docs.mapInArrow(emit, SUFFIXES)
 
 
-SUFFIX_NAMES = [x.split()[0] for x in SUFFIXES.split(", ")]
+def window_rows(runs: DataFrame, settings: Settings) -> DataFrame:
+    """k1, k2 (128 bits of the words), doc_id, start: each window of ``runs`` (doc_id, start, words)."""
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = texts_of(batch.column(2))
+            for a, b in slices(texts):
+                w = Words(texts[a:b])
+                at = w.windows(settings.window)
+                row = w.text[at]
+                k1, k2 = (grams(w.hash, settings.window, salt)[at] for salt in (0, 7))
+                start = batch.column(1).slice(a, b - a).to_numpy()[row] + at - w.first[row]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), batch.column(0).slice(a, b - a).take(pa.array(row)),
+                     pa.array(start)], ["k1", "k2", "doc_id", "start"])
+
+    return runs.select("doc_id", "start", "words").mapInArrow(emit, "k1 bigint, k2 bigint, doc_id bigint, start bigint")
 
 
 def later_leaves(group: np.ndarray, doc: np.ndarray, start: np.ndarray, texts: list[bytes], size: int) -> tuple:
@@ -146,7 +155,7 @@ def repeats_in_groups(rows: DataFrame, settings: Settings) -> DataFrame:
         held: list[pa.RecordBatch] = []
 
         def work(table: pa.Table) -> pa.RecordBatch:
-            key, doc, start = (table.column(c).to_numpy() for c in ("k1", "doc_id", "start"))
+            key, doc, start = (table.column(c).to_numpy() for c in ("prefix", "doc_id", "start"))
             r, o, n = later_leaves(key.view(U64), doc, start, texts_of(table.column("words")), settings.window)
             return pa.RecordBatch.from_arrays([pa.array(doc[r]), pa.array(start[r] + o), pa.array(n.astype(np.int64))],
                                               ["doc_id", "start", "n"])
@@ -174,8 +183,9 @@ def repeated_runs(docs: DataFrame, settings: Settings = Settings()) -> DataFrame
     """doc_id, start, n: runs of ``n`` windows from word ``start`` on that also start earlier in the corpus.
 
     ``docs`` has doc_id and text without nulls. Copies of a whole text are settled by text; prefixes are counted over all documents, and only suffixes under a
-    prefix that is met again are dealt out, with their words. A prefix too frequent for one task is lengthened to the whole window, where
-    only the earliest place counts and is found by aggregation before the shuffle.
+    prefix that is met again are dealt out, with their words. Under a frequent prefix, equal runs are first reduced to the
+    earliest; a prefix that is still too frequent for one task is lengthened to whole windows, whose earliest places are found by
+    aggregation.
     """
     text_key = F.md5(F.col("text").cast("binary"))
     kinds = written(docs.select("doc_id", text_key.alias("kind")))
@@ -190,15 +200,28 @@ def repeated_runs(docs: DataFrame, settings: Settings = Settings()) -> DataFrame
         F.collect_list("prefix").alias("live"),
         F.collect_list(F.when(F.col("places") > settings.group_rows, F.col("prefix"))).alias("large"))
     found = written(suffixes(own.join(live, F.col("doc_id") == F.col("l_id")).select("doc_id", "text", "live", "large"), settings))
-    ordinary = found.filter(~F.col("large")).select("k1", "doc_id", "start", "words").repartition("k1").sortWithinPartitions("k1")
-    in_groups = repeats_in_groups(ordinary, settings)
-    large = found.filter("large").select("k1", "k2", "doc_id", "start")
-    earliest = large.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count(F.lit(1)).alias("n")) \
+    # runs of the same words under a frequent prefix: the earliest stands for them, all others are repeats from end to end
+    frequent = found.filter("large").withColumn("kind", F.md5("words"))
+    different = written(frequent.groupBy("prefix", "kind").agg(
+        F.min(F.struct("doc_id", "start", "n", "words")).alias("first"), F.count(F.lit(1)).alias("copies")))
+    same = different.filter(F.col("copies") > 1).select(
+        F.col("prefix").alias("s_prefix"), F.col("kind").alias("s_kind"), F.col("first.doc_id").alias("f_doc"), F.col("first.start").alias("f_start"))
+    later = frequent.join(same, (F.col("prefix") == F.col("s_prefix")) & (F.col("kind") == F.col("s_kind"))) \
+        .filter((F.col("doc_id") != F.col("f_doc")) | (F.col("start") != F.col("f_start"))).select("doc_id", "start", "n")
+    too_many = different.groupBy(F.col("prefix").alias("m_prefix")).count().filter(F.col("count") > settings.group_rows)
+    spread = different.select("prefix", "first.*")
+    on_prefix = F.col("prefix") == F.col("m_prefix")
+    trees = found.filter(~F.col("large")).select("prefix", "doc_id", "start", "n", "words") \
+        .unionByName(spread.join(too_many, on_prefix, "left_anti"))
+    in_groups = repeats_in_groups(
+        trees.select("prefix", "doc_id", "start", "words").repartition("prefix").sortWithinPartitions("prefix"), settings)
+    windows = window_rows(spread.join(too_many, on_prefix, "left_semi"), settings)
+    earliest = windows.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count(F.lit(1)).alias("n")) \
         .filter(F.col("n") > 1).select("k1", "k2", "first")
-    in_large = large.join(earliest, ["k1", "k2"]).filter(F.struct("doc_id", "start") != F.col("first")) \
+    in_large = windows.join(earliest, ["k1", "k2"]).filter(F.struct("doc_id", "start") != F.col("first")) \
         .select("doc_id", "start", F.lit(1).cast("long").alias("n"))
     whole = copies.select(F.col("copy_id").alias("doc_id"), F.lit(0).cast("long").alias("start"), F.lit(-1).cast("long").alias("n"))
-    return in_groups.union(in_large).union(whole)
+    return in_groups.union(later).union(in_large).union(whole)
 
 
 DONE = "doc_id bigint, n_words bigint, n_removed bigint, kept binary"
