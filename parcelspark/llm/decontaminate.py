@@ -43,17 +43,28 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, size: int = 10, broadcast_r
             i.alias("start"), F.lit(n).alias("n"), F.xxhash64(F.slice("words", i + 1, n)).alias("key")))
         return F.when(F.size("words") >= n, places).otherwise(F.array().cast("array<struct<start:int,n:int,key:bigint>>"))
 
-    # one place that never matches stands for the document itself
-    places = words.select("doc_id", "text_key", "words", F.explode(F.concat(F.array(none), *map(of_length, lengths))).alias("p")) \
-        .select("doc_id", "text_key", "words", F.col("p.start").alias("start"), F.col("p.n").alias("n"), F.col("p.key").alias("key"))
+    def places(arrays: list[Column]) -> DataFrame:
+        return words.select("doc_id", "text_key", "words", F.explode(F.concat(*arrays)).alias("p")) \
+            .select("doc_id", "text_key", "words", F.col("p.start").alias("start"), F.col("p.n").alias("n"), F.col("p.key").alias("key"))
+
+    arrays = [of_length(n) for n in lengths]
     table = windows.select("key", "window", "items")
-    met = places.join(F.broadcast(table) if small else table, "key", "left")
-    same = F.slice("words", F.col("start") + 1, F.col("n")) == F.col("window")
-    hits = met.select(
-        "doc_id", "text_key", "start", "n",
-        F.when(F.col("start") < 0, F.size("words")).alias("n_words"),
-        F.when((F.col("start") >= 0) & F.col("window").isNotNull() & same, F.col("items")).alias("items")) \
-        .filter((F.col("start") < 0) | F.col("items").isNotNull())
+    gram = F.slice("words", F.col("start") + 1, F.col("n"))
+    if small:
+        # one place that never matches stands for the document itself
+        met = places([F.array(none), *arrays]).join(F.broadcast(table), "key", "left")
+        hits = met.select(
+            "doc_id", "text_key", "start", "n",
+            F.when(F.col("start") < 0, F.size("words")).alias("n_words"),
+            F.when((F.col("start") >= 0) & F.col("window").isNotNull() & (gram == F.col("window")), F.col("items")).alias("items")) \
+            .filter((F.col("start") < 0) | F.col("items").isNotNull())
+    else:
+        # a window is shuffled with its own words only, and the documents' own rows stay out of the join
+        met = places(arrays).select("doc_id", "text_key", "start", "n", "key", gram.alias("gram")).join(table, "key")
+        hits = met.filter(F.col("gram") == F.col("window")) \
+            .select("doc_id", "text_key", "start", "n", F.lit(None).cast("int").alias("n_words"), "items") \
+            .unionByName(words.select("doc_id", "text_key", F.lit(-1).alias("start"), F.lit(0).alias("n"),
+                                      F.size("words").alias("n_words"), F.lit(None).alias("items")))
     span = F.when(F.col("start") >= 0, F.struct("start", F.col("n").alias("length")))
     return hits.groupBy("doc_id", "text_key").agg(
         F.max("n_words").cast("long").alias("n_words"),
