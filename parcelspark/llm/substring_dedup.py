@@ -138,11 +138,13 @@ def later_leaves(group: np.ndarray, doc: np.ndarray, start: np.ndarray, texts: l
         names = mixed(names[:len(names) - step] * U64(0xD6E8FEB86659FD93) + names[step:])
     node = mixed(names[at] ^ (group[row].astype(U64) * STEP))
     offset = at - w.first[row]
-    order = np.lexsort((start[row] + offset, doc[row], node))
+    place, doc = start[row] + offset, doc[row]
+    order = np.lexsort((place, doc, node))
     same = np.append(False, node[order][1:] == node[order][:-1])
-    # leaves of one document and place can come from one row only, so the first in order is the earliest
+    first = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))]
+    # rows that repeat an id and its text have leaves at one place; none of them is later than the others
     later = np.zeros(len(at), bool)
-    later[order] = same
+    later[order] = same & ((doc[order] != doc[first]) | (place[order] != place[first]))
     hit = np.flatnonzero(later)
     r, o = row[hit], offset[hit]
     new = np.flatnonzero(np.append(True, (np.diff(o) != 1) | (r[1:] != r[:-1]))[:len(hit)])
@@ -198,7 +200,7 @@ def repeated_runs(docs: DataFrame, settings: Settings = Settings()) -> DataFrame
     met = chosen.groupBy("prefix").agg(F.sum("n").alias("places")).filter(F.col("places") > 1)
     live = chosen.join(met, "prefix").groupBy(F.col("doc_id").alias("l_id")).agg(
         F.collect_list("prefix").alias("live"),
-        F.collect_list(F.when(F.col("places") > settings.group_rows, F.col("prefix"))).alias("large"))
+        F.collect_list(F.when(F.col("places") > settings.copies_from, F.col("prefix"))).alias("large"))
     found = written(suffixes(own.join(live, F.col("doc_id") == F.col("l_id")).select("doc_id", "text", "live", "large"), settings))
     # runs of the same words under a frequent prefix: the earliest stands for them, all others are repeats from end to end
     frequent = found.filter("large").withColumn("kind", F.md5("words"))
