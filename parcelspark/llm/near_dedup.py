@@ -20,9 +20,9 @@ from parcelspark.sources.tables import written
 class Settings:
     shingle: int = 5
     least: float = 0.8
-    bands: int = 20
-    rows: int = 4  # signature coordinates in a band: a pair at 0.8 shares none of 20 bands once in 38,000 times
-    estimate: float = 0.55  # pairs whose signatures agree less are not verified: six standard errors below 0.8
+    bands: int = 25
+    rows: int = 5  # signature coordinates in a band: a pair at 0.8 shares none of 25 bands once in 20,000 times
+    estimate: float = 0.58  # pairs whose signatures agree less are not verified: six standard errors below 0.8
     weights: str = "set"  # or "count": a shingle weighs as often as it occurs
 
 
@@ -100,7 +100,7 @@ def dart_signatures(s: Shingles, n_texts: int, k: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
-    """doc_id, n_shingles, set1 and set2 (128 bits of the shingle set), sketch (4 bytes a coordinate), bands (hashes)."""
+    """doc_id, n_shingles, set1 and set2 (128 bits of the shingle set), sketch (a byte a coordinate), bands (hashes)."""
     k = settings.bands * settings.rows
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,7 +120,7 @@ def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
                 size = np.bincount(s.text, minlength=n)
                 lists = pa.ListArray.from_arrays(np.cumsum(np.append(0, np.where(size > 0, settings.bands, 0))).astype(np.int32),
                                                  pa.array(band[size > 0].reshape(-1).view(np.int64)))
-                sketch = [x.tobytes() for x in signed.astype(np.uint32)]
+                sketch = [x.tobytes() for x in (signed >> U64(56)).astype(np.uint8)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, n), pa.array(size), *sums, pa.array(sketch, pa.binary()), lists],
                     ["doc_id", "n_shingles", "set1", "set2", "sketch", "bands"])
@@ -144,7 +144,7 @@ def verified(pairs: DataFrame, texts: DataFrame, sketches: DataFrame, settings:
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(-1, k) for i in (2, 3))
+            left, right = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, k) for i in (2, 3))
             near = (left == right).mean(1) >= settings.estimate
             yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(near)) for i in (0, 1)], ["a", "b"])
 
@@ -174,13 +174,65 @@ def verified(pairs: DataFrame, texts: DataFrame, sketches: DataFrame, settings:
     return written(with_both(needed, likely, "text").mapInArrow(exact, "a bigint, b bigint"))
 
 
+#: Slots in which shingles are counted to order them: one number each goes through the driver, whatever the input.
+SLOTS = 1 << 17
+
+
+def rare_pairs(nodes: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
+    """Pairs (a, b) of ``nodes`` (node, part) of different parts that may have similarity ``least`` and more.
+
+    All texts order their shingles alike, rarely counted slots first. The shingles that two such texts share cannot all stand
+    behind the first fifth of either (for 0.8), so they meet in a shingle of both first fifths. The order only decides how
+    many pairs meet, not which may be missed. Shingles of one part only are dropped before the join.
+    """
+    own = written(texts.select("doc_id", F.col("text").cast("binary").alias("text"))
+                  .join(nodes, F.col("doc_id") == F.col("node")).select("node", "part", "text"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            found = texts_of(batch.column(0))
+            for a, b in slices(found):
+                s = Shingles(found[a:b], settings.shingle, settings.weights)
+                total += np.bincount((s.hash % U64(SLOTS)).astype(np.int64), minlength=SLOTS)
+        slot = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(total[slot])], ["slot", "n"])
+
+    counted = own.select("text").mapInArrow(count, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    times_seen = np.zeros(SLOTS, np.int64)
+    times_seen[counted["slot"].to_numpy()] = counted["n"].to_numpy()
+
+    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = texts_of(batch.column(2))
+            for a, b in slices(found):
+                s = Shingles(found[a:b], settings.shingle, settings.weights)
+                order = np.lexsort((s.hash, times_seen[(s.hash % U64(SLOTS)).astype(np.int64)], s.text))
+                text, weight = s.text[order], s.weight[order]
+                total = np.bincount(text, weight, b - a)
+                left = total[text] - (np.cumsum(weight) - weight - (np.cumsum(total) - total)[text])
+                first = left >= settings.least * total[text] - 1e-6
+                at = pa.array(a + text[first])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(s.hash[order][first].view(np.int64)), batch.column(0).take(at), batch.column(1).take(at),
+                     pa.array(total[text[first]])], ["gram", "node", "part", "total"])
+
+    rows = written(own.mapInArrow(rare, "gram bigint, node bigint, part bigint, total double"))
+    several = rows.groupBy("gram").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high").select("gram")
+    met = written(rows.join(several, "gram", "left_semi"))
+    other = met.select("gram", *[F.col(c).alias(f"x_{c}") for c in ("node", "part", "total")])
+    alike = F.least("total", "x_total") >= settings.least * F.greatest("total", "x_total") - 1e-6
+    return met.join(other, "gram").filter((F.col("node") < F.col("x_node")) & (F.col("part") != F.col("x_part")) & alike) \
+        .select(F.col("node").alias("a"), F.col("x_node").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id (smallest id of its class), n_shingles, kept (the row that stays).
 
     A class holds what links of similarity ``least`` and more connect; shingles are runs of five words between white space, and
     a shorter text is one shingle. Texts with the same shingles are one node, its smallest id. In a bucket of a band, all
-    nodes are held against one of them; where that leaves several components, every node outside the largest one is held against
-    all of other components, so no link in a bucket is lost and a group of near copies costs one comparison a member and band.
+    nodes are held against one of them, so a group of near copies costs one comparison a member and band. Nodes of buckets that
+    are still in several components meet by their rarest shingles, so no link in a bucket is lost.
     Texts without words and rows without an id are classes of their own and stay. Rows that share an id share a class. Only
     doc_id and text are read.
     """
@@ -205,13 +257,9 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     placed = members.filter(F.col("size") > 2).join(found, F.col("node") == F.col("c_node"), "left") \
         .select("bucket", "node", F.coalesce("component", "node").alias("part"))
     parts = placed.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("n"))
-    main = parts.groupBy("bucket").agg(F.max(F.struct("n", "part")).part.alias("main"), F.count(F.lit(1)).alias("n_parts")) \
-        .filter(F.col("n_parts") > 1)
-    open_rows = written(placed.join(main, "bucket"))
-    minor = open_rows.filter(F.col("part") != F.col("main")).select("bucket", F.col("node").alias("x"), F.col("part").alias("x_part"))
-    rest = ordered(minor.join(open_rows, "bucket").filter(F.col("part") != F.col("x_part")), "x", "node") \
-        .join(star, ["a", "b"], "left_anti")
-    more = verified(written(rest), docs, sketches, settings)
+    open_buckets = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_parts")).filter(F.col("n_parts") > 1)
+    unsure = placed.join(open_buckets, "bucket", "left_semi").select("node", "part").distinct()
+    more = verified(written(rare_pairs(written(unsure), docs, settings)), docs, sketches, settings)
     classes = components(links.union(more)).withColumnRenamed("node", "c_node")
     of_kind = kinds.join(classes, F.col("node") == F.col("c_node"), "left") \
         .select("n_shingles", "set1", "set2", F.coalesce("component", "node").alias("class_id"))
