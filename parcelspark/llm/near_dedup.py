@@ -258,8 +258,9 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         .select("bucket", "node", F.coalesce("component", "node").alias("part"))
     parts = placed.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("n"))
     open_buckets = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_parts")).filter(F.col("n_parts") > 1)
-    unsure = placed.join(open_buckets, "bucket", "left_semi").select("node", "part").distinct()
-    more = verified(written(rare_pairs(written(unsure), docs, settings)), docs, sketches, settings)
+    unsure = written(placed.join(open_buckets, "bucket", "left_semi").select("node", "part").distinct())
+    texts = written(docs.select("doc_id", "text").join(unsure, F.col("doc_id") == F.col("node"), "left_semi"))
+    more = verified(written(rare_pairs(unsure, texts, settings)), texts, sketches, settings)
     classes = components(links.union(more)).withColumnRenamed("node", "c_node")
     of_kind = kinds.join(classes, F.col("node") == F.col("c_node"), "left") \
         .select("n_shingles", "set1", "set2", F.coalesce("component", "node").alias("class_id"))

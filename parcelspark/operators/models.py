@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelspark.operators.aggregates import argmin_model
-from parcelspark.operators.setops import bucket_of
+from parcelspark.operators.setops import bucket_of, whole_key
 
 # Metro segments and the metro codes each one covers.
 METRO_SEGMENTS = {
@@ -113,24 +113,43 @@ def select_features(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
 
 
 def split_tvh(df: DataFrame, key: str, validation_pct: int = 2, holdout_pct: int = 2, out: str = "part") -> DataFrame:
-    """Mark each row as train, validation or holdout by its key: repeatable, and equal keys stay together."""
-    bucket = bucket_of(key, 100)
+    """Mark each row as train, validation or holdout by its key: repeatable, and equal keys stay together.
+
+    Text keys are hashed first."""
+    bucket = bucket_of(whole_key(df, key), 100)
     part = (F.when(bucket < validation_pct, "validation")
             .when(bucket < validation_pct + holdout_pct, "holdout").otherwise("train"))
     return df.withColumn(out, part)
 
 
-def train_price_model(df: DataFrame, features: Sequence[str], label: str = "close_price", kind: str = "gamma"):
+def train_price_model(df: DataFrame, features: Sequence[str], label: str = "close_price", kind: str = "gamma",
+                      iterations: int | None = None, depth: int = 5):
     """Fit price on features: ``gamma`` is a log-link gamma regression (it minimises the gamma deviance), ``trees`` are
-    boosted trees, which Spark fits by squared error. Both train distributed."""
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
+    boosted trees, which Spark fits by squared error. Both train distributed.
+
+    Rows without a label do not train. A missing feature counts as the column's mean, and columns with missing values
+    when training get a 0/1 column that says so; a column without any value is left out. Every row is scored.
+    ``iterations`` are 25 (gamma) or 20 (trees) unless given.
+    """
+    rows = df.filter(F.col(label).isNotNull())
+    present = [F.count(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))).alias(c) for c in features]
+    count = rows.agg(F.count(F.lit(1)).alias("_rows"), *present).first()
+    used = [c for c in features if count[c]]
+    gaps = [c for c in used if count[c] < count["_rows"]]
+    columns = [f"CAST(`{c}` AS DOUBLE) AS `{c}_input`" for c in used] + [
+        f"CAST(`{c}` IS NULL OR isnan(CAST(`{c}` AS DOUBLE)) AS DOUBLE) AS `{c}_missing`" for c in gaps]
+    inputs = SQLTransformer(statement=f"SELECT *, {', '.join(columns)} FROM __THIS__")
+    filled = Imputer(inputCols=[f"{c}_input" for c in used], outputCols=[f"{c}_filled" for c in used])
+    assembler = VectorAssembler(inputCols=[f"{c}_filled" for c in used] + [f"{c}_missing" for c in gaps],
+                                outputCol="features")
     if kind == "gamma":
-        learner = GeneralizedLinearRegression(family="gamma", link="log", labelCol=label, maxIter=25, regParam=1e-6)
+        learner = GeneralizedLinearRegression(family="gamma", link="log", labelCol=label, maxIter=iterations or 25,
+                                              regParam=1e-6)
     elif kind == "trees":
-        learner = GBTRegressor(labelCol=label, maxIter=10, maxDepth=4, seed=7)
+        learner = GBTRegressor(labelCol=label, maxIter=iterations or 20, maxDepth=depth, seed=7)
     else:
         raise ValueError(f"unknown kind of model: {kind!r}")
-    return Pipeline(stages=[assembler, learner]).fit(df)
+    return Pipeline(stages=[inputs, filled, assembler, learner]).fit(rows)
 
 
 def _eligible(leaderboard: DataFrame, feature_lists: Sequence[str], sample_pct: int) -> DataFrame:

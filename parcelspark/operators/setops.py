@@ -24,10 +24,14 @@ def bucket_of(key: str | Column, buckets: int) -> Column:
     return F.pmod(F.pmod(mixed, F.lit(1000003)) * F.lit(31337), F.lit(buckets))
 
 
+def whole_key(df: DataFrame, key: str) -> Column:
+    """The key as a whole number: itself, or a hash of a key of another type."""
+    return F.col(key) if dict(df.dtypes)[key] in ("bigint", "int") else F.xxhash64(F.col(key))
+
+
 def sample_fraction(df: DataFrame, fraction: float, key: str) -> DataFrame:
     """A repeatable sample: the same rows on each run and after a lost executor. Text keys are hashed first."""
-    whole = key if dict(df.dtypes)[key] in ("bigint", "int") else F.xxhash64(F.col(key))
-    return df.filter(bucket_of(whole, 10000) < F.lit(int(round(fraction * 10000))))
+    return df.filter(bucket_of(whole_key(df, key), 10000) < F.lit(int(round(fraction * 10000))))
 
 
 def union_all(*parts: DataFrame) -> DataFrame:
