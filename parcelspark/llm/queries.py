@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from parcelspark.llm import chat, decontaminate, licenses, line_dedup, lm_scoring, mixing, near_dedup, quality, substring_dedup, toxicity
+from parcelspark.llm import (
+    bpe, centroids, chat, decontaminate, licenses, line_dedup, lm_scoring, mixing, near_dedup, quality, spelling, substring_dedup, toxicity,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +24,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_substring_dedup": substring_dedup.op8_substring_dedup,
         "op9_near_dedup": near_dedup.op9_near_dedup,
         "op10_toxicity": toxicity.op10_toxicity,
+        "op11_spelling_variants": spelling.op11_spelling_variants,
+        "op12_centroid_clustering": centroids.op12_centroid_clustering,
+        "op13_bpe_coding": bpe.op13_bpe_coding,
         "pipeline": corpus_pipeline.run,
     }
 
