@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from parcelspark.operators.aggregates import argmin_model
 from parcelspark.operators.setops import bucket_of, whole_key
+from parcelspark.sources.tables import written
 
 # Metro segments and the metro codes each one covers.
 METRO_SEGMENTS = {
@@ -131,7 +132,8 @@ def train_price_model(df: DataFrame, features: Sequence[str], label: str = "clos
     when training get a 0/1 column that says so; a column without any value is left out. Every row is scored.
     ``iterations`` are 25 (gamma) or 20 (trees) unless given.
     """
-    rows = df.filter(F.col(label).isNotNull())
+    # stored, as each iteration reads them: only what is needed of them
+    rows = written(df.filter(F.col(label).isNotNull()).select(label, *features))
     present = [F.count(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))).alias(c) for c in features]
     count = rows.agg(F.count(F.lit(1)).alias("_rows"), *present).first()
     used = [c for c in features if count[c]]

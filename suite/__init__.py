@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["sources", "filters", "columns", "joins", "places", "groups", "models", "texts", "kpis", "tables"]
+MODULES = ["sources", "filters", "columns", "joins", "places", "groups", "models", "price_models", "texts", "kpis", "tables"]
 
 
 def load() -> None:
