@@ -57,6 +57,36 @@ def inside(edges: str | Column, x: str | Column, y: str | Column) -> Column:
     return F.size(F.filter(as_column(edges), crosses)) % 2 == 1
 
 
+def same_side(edges: str | Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """Whether the way from one point up or down and then across to another crosses an even number of the edges.
+
+    Both ends take the same side then, if the edges are all that the way can meet. Ends on the way count as in ``inside``.
+    """
+    def met(e: Column) -> Column:
+        rise, run = e["y2"] - e["y1"], e["x2"] - e["x1"]
+        at_y = rise * (x0 - e["x1"]) / F.nullif(run, F.lit(0.0)) + e["y1"]
+        at_x = run * (y1 - e["y1"]) / F.nullif(rise, F.lit(0.0)) + e["x1"]
+        up = ((e["x1"] > x0) != (e["x2"] > x0)) & ((at_y > y0) != (at_y > y1))
+        across = ((e["y1"] > y1) != (e["y2"] > y1)) & ((at_x > x0) != (at_x > x1))
+        return F.coalesce(up, F.lit(False)) != F.coalesce(across, F.lit(False))
+
+    return F.size(F.filter(as_column(edges), met)) % 2 == 0
+
+
+def touching(edges: str | Column, x0: Column, y0: Column, width: Column, height: Column) -> Column:
+    """The edges that come into a box, or within a billionth of its size of it."""
+    def near(e: Column) -> Column:
+        dx, dy = width * 1e-9, height * 1e-9
+        boxes = (F.least(e["x1"], e["x2"]) <= x0 + width + dx) & (F.greatest(e["x1"], e["x2"]) >= x0 - dx) \
+            & (F.least(e["y1"], e["y2"]) <= y0 + height + dy) & (F.greatest(e["y1"], e["y2"]) >= y0 - dy)
+        # the edge's line misses the box if the middle is farther from it, in this measure, than every corner is from the middle
+        rise, run = e["y2"] - e["y1"], e["x2"] - e["x1"]
+        middle = run * (y0 + height / 2 - e["y1"]) - rise * (x0 + width / 2 - e["x1"])
+        return boxes & (F.abs(middle) <= (F.abs(run) * height + F.abs(rise) * width) * (0.5 + 1e-9))
+
+    return F.filter(as_column(edges), near)
+
+
 def unit_vector(lon: str | Column, lat: str | Column) -> tuple[Column, Column, Column]:
     a, b = F.radians(as_column(lon)), F.radians(as_column(lat))
     return F.cos(b) * F.cos(a), F.cos(b) * F.sin(a), F.sin(b)

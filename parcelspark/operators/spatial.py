@@ -2,8 +2,11 @@
 
 *Point in polygon.* A polygon is filed at one grid level only: the finest whose cells are at least as large as its
 bounding box. It then touches at most four cells, however large it is, and a cell holds only polygons of about its own
-size. A point looks up its cell at each level in use (at most 24). Candidates pass a bounding-box test, then the
-ray-cast; both sit in the join condition.
+size. A cell with more than ``MOST_EDGES`` edges of its polygon is cut into 64 smaller ones, again and again: each keeps the
+edges that touch it and whether a reference point of its own lies inside; cells without edges are wholly inside, or
+are dropped. So a point meets a handful of edges however many its polygon has. A point looks up its cell at each level in
+use. Candidates pass a bounding-box test, then the ray-cast, or the way to the reference point; all sit in the join
+condition.
 
 *Nearest.* Points and candidates are unit vectors in a cube cut into cells, each level twice as coarse as the one
 before. Work is done once per occupied finest cell of the points, not per point:
@@ -23,6 +26,7 @@ and read back, so they are computed once, survive lost executors, and the next j
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +46,15 @@ GLOBE_LEVELS = 17
 CELLS_PER_RADIUS = float(2 ** 15)
 
 
+#: Edges of one polygon that a cell holds before it is cut, and the levels that one cut goes down.
+MOST_EDGES = 16
+CUT_LEVELS = 3
+#: Cells are cut down to 2^-24 degrees (less than a centimetre), where many edges may still meet in a point.
+FINEST_CUT = -24
+#: Where a cell's reference point lies in it: places that no drawn border goes through by habit.
+REFERENCE = (0.38196601125010515, 0.41421356237309503)
+
+
 def polygon_table(df: DataFrame, polygon: str, box: bool = True) -> DataFrame:
     """Add the bounding box; rows without edges are dropped."""
     kept = df.filter(F.size(F.col(polygon)) > 0)
@@ -73,15 +86,79 @@ def _filed_polygons(polygons: DataFrame, polygon: str) -> DataFrame:
     return filed
 
 
+def _reference(axis: str) -> Column:
+    place = REFERENCE[axis == "y"]
+    return (F.col(f"cell_{axis}") + F.lit(place)) * F.pow(F.lit(2.0), F.col("cell_level"))
+
+
+def _cut_cells(cells: DataFrame, polygon: str) -> DataFrame:
+    """The cells' smaller ones: with the edges that touch them, and whether their reference points are inside."""
+    parts = 2 ** CUT_LEVELS
+    rest = [c for c in cells.columns if c not in (polygon, "cell_level", "cell_x", "cell_y", "ref_x", "ref_y", "ref_inside")]
+    size = F.pow(F.lit(2.0), F.col("cell_level"))
+    known = cells.withColumns({"whole": F.col(polygon), "old_x": F.col("ref_x"), "old_y": F.col("ref_y"),
+                               "cell_level": F.col("cell_level") - CUT_LEVELS})
+
+    def same(edges: str, x0: str, y0: str, x1: str, y1: str) -> Column:
+        return F.col("ref_inside") == geo.same_side(edges, *[F.col(c) for c in (x0, y0, x1, y1)])
+
+    # columns first, then the cells of each: an edge is held against 8 boxes and then against 8 cells of the columns it touches,
+    # and the reference points move across first, then up or down
+    columns = known.withColumn("cell_x", F.explode(F.sequence(F.col("cell_x") * parts, F.col("cell_x") * parts + (parts - 1))))
+    low = F.col("cell_y") * F.pow(F.lit(2.0), F.col("cell_level") + CUT_LEVELS)
+    columns = columns.withColumn("ref_x", _reference("x")).select(
+        *rest, "cell_level", "cell_x", "cell_y", "ref_x", "old_y", same("whole", "old_x", "old_y", "ref_x", "old_y").alias("ref_inside"),
+        geo.touching("whole", F.col("cell_x") * size, low, size, size * parts).alias("whole"))
+    small = columns.withColumn("cell_y", F.explode(F.sequence(F.col("cell_y") * parts, F.col("cell_y") * parts + (parts - 1))))
+    made = small.withColumn("ref_y", _reference("y")).select(
+        *rest, geo.touching("whole", F.col("cell_x") * size, F.col("cell_y") * size, size, size).alias(polygon),
+        "cell_level", "cell_x", "cell_y", "ref_x", "ref_y", same("whole", "ref_x", "old_y", "ref_x", "ref_y").alias("ref_inside"))
+    return made.filter((F.size(polygon) > 0) | F.col("ref_inside"))
+
+
+def _pays_to_cut(polygon: str) -> Column:
+    """Whether the cell has too many edges and few of them so long that they would go into most of the smaller cells."""
+    size = F.pow(F.lit(2.0), F.col("cell_level"))
+    reach = F.aggregate(polygon, F.lit(0.0), lambda s, e: s + F.least(size, F.abs(e["x2"] - e["x1"])) + F.least(size, F.abs(e["y2"] - e["y1"])))
+    cells_met = F.size(polygon) + reach / size * (2 ** CUT_LEVELS)
+    return (F.size(polygon) > MOST_EDGES) & (F.col("cell_level") - CUT_LEVELS >= FINEST_CUT) & (cells_met <= 4 * F.size(polygon))
+
+
+def polygon_index(polygons: DataFrame, polygon: str, materialize: Materialize = written) -> DataFrame:
+    """The cells that polygons are filed in, with the edges to test there.
+
+    Cells of small polygons have all their edges and no reference point; cells of others the edges that touch them, and
+    ``ref_inside`` for the point (``ref_x``, ``ref_y``). Polygons whose edges mostly run right through (a comb) are not cut there.
+    """
+    no = F.lit(None).cast("double")
+    filed = materialize(_filed_polygons(polygons, polygon).withColumns({"ref_x": no, "ref_y": no, "ref_inside": F.lit(None).cast("boolean")}))
+    many = F.size(polygon) > MOST_EDGES
+    work = filed.filter(many)
+    if work.isEmpty():
+        return filed
+    size = F.pow(F.lit(2.0), F.col("cell_level"))
+    work = work.withColumns({"ref_x": _reference("x"), "ref_y": _reference("y")})
+    work = work.withColumn("ref_inside", geo.inside(polygon, "ref_x", "ref_y"))
+    work = work.withColumn(polygon, geo.touching(polygon, F.col("cell_x") * size, F.col("cell_y") * size, size, size))
+    done = [filed.filter(~many)]
+    while True:
+        work = materialize(work.withColumn("cut", _pays_to_cut(polygon)))
+        done.append(work.filter(~F.col("cut")).drop("cut"))
+        more = work.filter("cut").drop("cut")
+        if more.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        work = _cut_cells(more, polygon)
+
+
 def spatial_join(points: DataFrame, polygons: DataFrame, lon: str, lat: str, polygon: str,
                  levels: Sequence[int] | None = None, materialize: Materialize = written) -> DataFrame:
     """Inner join of points with every polygon they lie in; the polygon column and its box are not kept.
 
-    ``levels`` names the grid levels in use when known beforehand; otherwise one aggregate over the filed polygons
-    finds them (22 whole numbers at most come to the driver).
+    ``levels`` names the grid levels in use when known beforehand; otherwise one aggregate over the index
+    finds them (34 whole numbers at most come to the driver).
     """
     keep = [c for c in polygons.columns if c != polygon]
-    filed = materialize(_filed_polygons(polygons, polygon))
+    filed = polygon_index(polygons, polygon, materialize)
     if levels is None:
         levels = sorted(r.cell_level for r in filed.select("cell_level").distinct().collect())
     if not levels:
@@ -95,7 +172,9 @@ def spatial_join(points: DataFrame, polygons: DataFrame, lon: str, lat: str, pol
     x, y = F.col(f"p.{lon}"), F.col(f"p.{lat}")
     same_cell = [F.col(f"p.{k}") == F.col(f"g.{k}") for k in ("cell_level", "cell_x", "cell_y")]
     in_box = x.between(F.col("g.box_x0"), F.col("g.box_x1")) & y.between(F.col("g.box_y0"), F.col("g.box_y1"))
-    matched = p.join(g, same_cell[0] & same_cell[1] & same_cell[2] & in_box & geo.inside(f"g.{polygon}", x, y))
+    by_reference = geo.same_side(f"g.{polygon}", F.col("g.ref_x"), F.col("g.ref_y"), x, y) == F.col("g.ref_inside")
+    holds = F.when(F.col("g.ref_inside").isNull(), geo.inside(f"g.{polygon}", x, y)).otherwise(by_reference)
+    matched = p.join(g, same_cell[0] & same_cell[1] & same_cell[2] & in_box & holds)
     return matched.select(*[F.col(f"p.{c}") for c in points.columns], *[F.col(f"g.{c}") for c in keep])
 
 

@@ -92,6 +92,47 @@ def test_contains_or_nearest_equals_brute_force(spark, layout):
     assert {(r.id, r.gid) for r in got} == expected
 
 
+def outline(x, y, r, n, rnd):
+    """A closed ring of ``n`` edges around a centre, with bays."""
+    corners = []
+    for k in range(n):
+        a, far = 2 * math.pi * k / n, r * (1 + 0.3 * math.sin(9 * 2 * math.pi * k / n) + 0.0005 * rnd.random())
+        corners.append((x + far * math.cos(a), y + 0.7 * far * math.sin(a)))
+    return ring(*corners)
+
+
+def test_many_edges_with_holes_equal_brute_force(spark):
+    import numpy as np
+
+    rnd = random.Random(11)
+    big = outline(-100.0, 40.0, 9.0, 20_000, rnd) + outline(-101.0, 41.0, 2.0, 3000, rnd) + outline(-97.0, 39.0, 0.05, 400, rnd)
+    grid = [(-110.0 + k, 30.0) for k in range(20)] + [(-90.0, 30.0 + k) for k in range(20)]
+    grid += [(-90.0 - k, 50.0) for k in range(20)] + [(-110.0, 50.0 - k) for k in range(20)]  # borders on cell borders
+    diamond = [(x, y) for k in range(40) for x, y in [(-100 + k / 8, 45 - k / 8)]] + [(-95 - k / 8, 40 - k / 8) for k in range(40)] \
+        + [(-100 - k / 8, 35 + k / 8) for k in range(40)] + [(-105 + k / 8, 40 + k / 8) for k in range(40)]
+    comb = [c for k in range(60) for c in ((-100 + k / 10, 20.0), (-100 + k / 10 + 0.05, 29.0))] + [(-94.0, 19.0), (-100.0, 19.0)]
+    star = [c for k in range(300) for c in ((-80.0, 40.0), (-80 + math.cos(k / 50), 40 + math.sin(k / 50)), (-80 + math.cos(k / 50 + .01), 40 + math.sin(k / 50 + .01)))]
+    shapes = [(1, big), (2, ring(*grid)), (3, ring(*diamond)), (4, ring(*comb)), (5, ring(*star)), (6, ring((-101.0, 39.0), (-99.0, 39.0), (-99.0, 42.0)))]
+    points = [(i, rnd.uniform(-112, -78), rnd.uniform(18, 52)) for i in range(3000)]
+    points += [(10_000 + i, -100 + 9.5 * math.cos(i), 40 + 6.6 * math.sin(i)) for i in range(2000)]  # along the border
+    points += [(20_000 + i, -97 + rnd.uniform(-.1, .1), 39 + rnd.uniform(-.1, .1)) for i in range(500)]
+    points += [(30_000 + i, -100 + rnd.randrange(-80, 80) / 8 + 1 / 64, 40 + rnd.randrange(-80, 80) / 8) for i in range(500)]
+    table = spark.createDataFrame(shapes, f"gid long, poly {POLYGON}")
+    found = sp.spatial_join(spark.createDataFrame(points, "id long, lon double, lat double"), table, "lon", "lat", "poly")
+    got = sorted((r.id, r.gid) for r in found.collect())
+    expected = []
+    for gid, edges in shapes:
+        a, b, c, d = np.array(edges).T
+        for i, x, y in points:
+            spans = (b > y) != (d > y)
+            expected += [(i, gid)] if (x < (c - a)[spans] * (y - b[spans]) / (d - b)[spans] + a[spans]).sum() % 2 else []
+    assert got == sorted(expected)
+    # what a point meets does not grow with the polygon
+    cells = sp.polygon_index(table.filter("gid = 1"), "poly").select(F.size("poly").alias("n"), "cell_level").collect()
+    assert max(r.n for r in cells) <= sp.MOST_EDGES and len(cells) < 23_400
+    assert any(r.n == 0 for r in cells)
+
+
 def test_polygon_text_with_hole_and_parts(spark):
     texts = [("hole", "POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0), (1 1, 2 1, 2 2, 1 2, 1 1))"),
              ("two", "MULTIPOLYGON (((0 0, 1 0, 1 1, 0 1, 0 0)), ((5 5, 6 5, 6 6, 5 6, 5 5)))")]
