@@ -9,12 +9,9 @@ use. Candidates pass a bounding-box test, then the ray-cast, or the way to the r
 condition.
 
 *Nearest.* Points and candidates are unit vectors in a cube cut into cells, each level twice as coarse as the one
-before. Work is done once per occupied finest cell of the points, not per point:
-
-1. one known candidate of the finest non-empty enclosing cell bounds the distance to the nearest one;
-2. the cells within that bound, at the level whose cells are as wide as it (so at most three per axis), hold every
-   candidate that can win; candidates farther from the cell than the bound are cut;
-3. the points of the cell meet only this short list, and the closest of it wins.
+before. Edges are cut into pieces no longer than a cell of one level, the finest that makes few pieces. Work is done once per
+occupied cell of the points, not per point: two bounds (see ``short_lists``) leave a short list of pieces, the points of
+the cell meet only this list, and the closest segment wins, measured as a whole.
 
 So no group is paired with itself in full, the result is exact, and a place that holds a large share of the points
 costs one lookup. Points travel as (id, x, y) rows; wide columns are joined back by id.
@@ -44,6 +41,10 @@ FINEST_DEGREES, COARSEST_DEGREES = -12, 9
 # one cell holds the whole globe.
 GLOBE_LEVELS = 17
 CELLS_PER_RADIUS = float(2 ** 15)
+#: The points' cells are a level finer than those that long pieces are filed in; in cells with more pieces, they are the finest.
+MOST_PIECES = 64
+#: Pieces are filed at their own level once more, under a number of its own for those who look only for these.
+OWN = GLOBE_LEVELS + 1
 
 
 #: Edges of one polygon that a cell holds before it is cut, and the levels that one cut goes down.
@@ -231,19 +232,113 @@ def _squared_gap(low: Sequence[Column], high: Sequence[Column], box_low: Sequenc
 _END1, _END2, _CELL = ["ax", "ay", "az"], ["bx", "by", "bz"], ["cx", "cy", "cz"]
 
 
-def _segment_index(segments: DataFrame) -> DataFrame:
-    """File each candidate at its own level (cells as wide as it is) and at all coarser ones."""
-    a, b = [F.col(c) for c in _END1], [F.col(c) for c in _END2]
-    low, high = [F.least(u, v) for u, v in zip(a, b)], [F.greatest(u, v) for u, v in zip(a, b)]
-    extent = F.greatest(*[v - u for u, v in zip(low, high)])
-    filed = segments.withColumn("own_level", _level_as_wide_as(extent))
-    filed = filed.withColumn("cell_level", F.explode(F.sequence(F.col("own_level"), F.lit(GLOBE_LEVELS))))
-    for name, first, last in zip(_CELL, _globe_cells(low), _globe_cells(high)):
-        level = F.col("cell_level")
-        filed = filed.withColumn(name, F.explode(F.sequence(_coarser(first, level), _coarser(last, level))))
-    packed = _pack(F.col("cell_level"), [F.col(c) for c in _CELL])
-    own = F.col("own_level") == F.col("cell_level")
-    return filed.withColumns({"cell": packed, "is_own": own}).drop(*_CELL, "own_level", "cell_level")
+def _extent() -> Column:
+    return F.greatest(*[F.abs(F.col(v) - F.col(u)) for u, v in zip(_END1, _END2)])
+
+
+def _width(level: Column | int) -> Column:
+    return F.pow(F.lit(2.0), F.lit(level) if isinstance(level, int) else level) / F.lit(CELLS_PER_RADIUS)
+
+
+def _pieces_of(level: int) -> Column:
+    """How many pieces no longer than a cell of the level a segment makes."""
+    return F.greatest(F.lit(1), F.ceil(_extent() / _width(level))).cast("long")
+
+
+def _piece_level(segments: DataFrame) -> int:
+    """The finest level whose cells cut the segments into at most twice as many pieces (18 sums in one row)."""
+    row = segments.agg(F.count(F.lit(1)).alias("n"), *[F.sum(_pieces_of(v)).alias(f"l{v}") for v in range(GLOBE_LEVELS + 1)]).first()
+    return next((v for v in range(GLOBE_LEVELS) if (row[f"l{v}"] or 0) <= 2 * row["n"]), GLOBE_LEVELS)
+
+
+_LOW, _HIGH = ["lx", "ly", "lz"], ["hx", "hy", "hz"]
+
+
+def _segment_index(segments: DataFrame, level: int) -> DataFrame:
+    """Pieces of the segments no longer than a cell of ``level``, each filed in the cells it touches at its own and all coarser levels.
+
+    The own level is the finest whose cells are as wide as the piece, ``level`` at most. A row has the whole segment, by which
+    distances are measured, and the box and one end of the piece.
+    """
+    count = _pieces_of(level)
+    cut = segments.withColumn("pieces", count).withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
+
+    def at(i: Column, a: str, b: str) -> Column:
+        # both ends exactly, so that neighbouring pieces leave no gap
+        return F.when(i == F.col("pieces"), F.col(b)).otherwise(F.col(a) + (F.col(b) - F.col(a)) * (i / F.col("pieces")))
+
+    ends = [(at(F.col("piece"), a, b), at(F.col("piece") + 1, a, b)) for a, b in zip(_END1, _END2)]
+    # a hair wider, as the points between are rounded
+    boxes = {n: F.least(u, v) - 1e-12 for n, (u, v) in zip(_LOW, ends)} | {n: F.greatest(u, v) + 1e-12 for n, (u, v) in zip(_HIGH, ends)}
+    filed = cut.withColumns(boxes | {n: u for n, (u, _) in zip(("ex", "ey", "ez"), ends)})
+    own = F.least(_level_as_wide_as(F.greatest(*[F.col(h) - F.col(lo) for lo, h in zip(_LOW, _HIGH)])), F.lit(level))
+    ways = F.sequence(F.col("own"), F.lit(GLOBE_LEVELS))
+    ways = F.when(F.col("own") > 0, F.concat(ways, F.array(F.col("own") + OWN))).otherwise(ways)
+    filed = filed.withColumn("own", own).withColumn("way", F.explode(ways)).withColumn("cell_level", F.col("way") % OWN)
+    for name, lo, hi in zip(_CELL, _globe_cells([F.col(c) for c in _LOW]), _globe_cells([F.col(c) for c in _HIGH])):
+        filed = filed.withColumn(name, F.explode(F.sequence(*[_coarser(v, F.col("cell_level")) for v in (lo, hi)])))
+    return filed.withColumn("cell", _pack(F.col("way"), [F.col(c) for c in _CELL])).drop(*_CELL, "cell_level", "pieces", "piece", "own", "way")
+
+
+def _farthest(place: Sequence[Column], low: Sequence[Column], high: Sequence[Column]) -> Column:
+    """The largest distance from a place to a point of a box; rounding must never cut a winner."""
+    reach = [F.greatest(F.abs(v - lo), F.abs(v - hi)) for v, lo, hi in zip(place, low, high)]
+    return F.sqrt(sum((F.pow(r, F.lit(2)) for r in reach), F.lit(0.0))) * F.lit(1.000001) + F.lit(1e-12)
+
+
+_LEAF = ["leaf_level", *_CELL]
+
+
+def _leaves(group: str, level: int, index: DataFrame, seeds: DataFrame) -> DataFrame:
+    """``seeds`` (with px, py, pz) with their leaf cell: of ``level``, or of the finest where many pieces are in that cell."""
+    cells = _globe_cells([F.col(c) for c in ("px", "py", "pz")])
+    placed = seeds.withColumns(dict(zip(_CELL, cells)))
+    if not level:
+        return placed.withColumn("leaf_level", F.lit(0))
+    coarse = _pack(F.lit(level), [_coarser(F.col(c), F.lit(level)) for c in _CELL])
+    crowded = index.groupBy(group, "cell").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > MOST_PIECES) \
+        .select(F.col(group).alias("of"), "cell", F.lit(0).alias("finest"))
+    met = placed.withColumn("coarse", coarse).join(crowded, (F.col(group) == F.col("of")) & (F.col("coarse") == F.col("cell")), "left")
+    leaf = met.withColumn("leaf_level", F.coalesce("finest", F.lit(level)))
+    return leaf.withColumns({c: _coarser(F.col(c), F.col("leaf_level")) for c in _CELL}).drop("coarse", "of", "cell", "finest")
+
+
+def short_lists(leaves: DataFrame, index: DataFrame, group: str, piece_level: int, materialize: Materialize = written,
+                cut: bool = True) -> DataFrame:
+    """The pieces of the index that can be nearest to some point of each leaf cell (group, ``leaf_level`` and cell numbers).
+
+    One end of a piece in the finest enclosing cell that is not empty gives a first bound. The cells within it, at the level whose cells
+    are as wide as it (at most three an axis), hold all that can win, but for longer pieces, which are looked up at their own
+    levels. The nearest of an end from each of these cells gives a second bound. Cells, then pieces, beyond that one are cut
+    (``cut=False`` leaves the pieces in, to count them).
+    """
+    width = _width(F.col("leaf_level"))
+    cell = [F.col(c) for c in _CELL]
+    low = [c.cast("double") * width - F.lit(1.0) for c in cell]
+    high = [v + width for v in low]
+    boxes = [F.min(c).alias(c) for c in _LOW] + [F.max(c).alias(c) for c in _HIGH]
+    cells = materialize(index.groupBy(group, "cell").agg(F.min(F.struct("ex", "ey", "ez")).alias("known"), *boxes))
+    known = [F.col(f"known.{c}") for c in ("ex", "ey", "ez")]
+
+    up = leaves.withColumn("level", F.explode(F.sequence(F.col("leaf_level"), F.lit(GLOBE_LEVELS))))
+    up = up.withColumn("cell", _pack(F.col("level"), [_coarser(c, F.col("level") - F.col("leaf_level")) for c in cell]))
+    bounds = up.join(cells, [group, "cell"]).groupBy(group, *_LEAF).agg(F.min(_farthest(known, low, high)).alias("bound"))
+
+    first = _level_as_wide_as(F.col("bound"))
+    wide = bounds.withColumn("first_level", first)
+    wide = wide.withColumn("level", F.explode(F.sequence(F.col("first_level"), F.greatest(F.col("first_level"), F.lit(piece_level)))))
+    for name, lo, hi in zip(("nx", "ny", "nz"), low, high):
+        first_cell, last_cell = (_coarser(F.floor(v * F.lit(CELLS_PER_RADIUS)), F.col("level"))
+                                 for v in (lo - F.col("bound") + F.lit(1.0), hi + F.col("bound") + F.lit(1.0)))
+        wide = wide.withColumn(name, F.explode(F.sequence(first_cell, last_cell)))
+    way = F.when(F.col("level") == F.col("first_level"), F.col("level")).otherwise(F.col("level") + OWN)
+    wide = wide.withColumn("cell", _pack(way, [F.col("nx"), F.col("ny"), F.col("nz")])).select(group, *_LEAF, "cell")
+    gap = _squared_gap(low, high, [F.col(c) for c in _LOW], [F.col(c) for c in _HIGH])
+    met = materialize(wide.join(cells, [group, "cell"]).select(group, *_LEAF, "cell", gap.alias("gap"), _farthest(known, low, high).alias("far")))
+    second = met.groupBy(group, *_LEAF).agg(F.min("far").alias("bound"))
+    near = met.join(second, [group, *_LEAF]).filter(F.col("gap") <= F.col("bound") * F.col("bound")).select(group, *_LEAF, "cell", "bound")
+    lists = near.join(index, [group, "cell"])
+    return lists.filter(gap <= F.col("bound") * F.col("bound")) if cut else lists
 
 
 def nearest_segment(points: DataFrame, segments: DataFrame, point_id: str, candidate_id: str, group: str,
@@ -261,54 +356,28 @@ def nearest_segment(points: DataFrame, segments: DataFrame, point_id: str, candi
     # candidates at the very same place differ by id only, and the smallest wins
     known = segments.dropna(subset=[group, candidate_id, "lon1", "lat1", "lon2", "lat2"])
     vectors = known.select(group, candidate_id, *[c.alias(n) for n, c in ends.items()])
-    places = vectors.groupBy(group, *_END1, *_END2).agg(F.min(candidate_id).alias(candidate_id))
-    index = materialize(_segment_index(places))
+    places = materialize(vectors.groupBy(group, *_END1, *_END2).agg(F.min(candidate_id).alias(candidate_id)))
+    piece_level = 0 if only_points else _piece_level(places)
+    index = _segment_index(places, piece_level)
+    if only_points:  # a place is its own box: only its cells are stored
+        index = materialize(index.select(group, candidate_id, *_END1, *_END2, "cell"))
+        index = index.withColumns({n: F.col(c) for names in (_LOW, _HIGH, ("ex", "ey", "ez")) for n, c in zip(names, _END1)})
+    else:
+        index = materialize(index)
 
     seeds = points.select(point_id, group, lon, lat).dropna().withColumns(
         dict(zip(["px", "py", "pz"], geo.unit_vector(lon, lat))))
     p = [F.col(c) for c in ("px", "py", "pz")]
-    seeds = seeds.withColumns(dict(zip(_CELL, _globe_cells(p))))
-    seeds = materialize(seeds.select(point_id, group, "px", "py", "pz", *_CELL))
-
-    cell = [F.col(c) for c in _CELL]
-    low = [c.cast("double") / F.lit(CELLS_PER_RADIUS) - F.lit(1.0) for c in cell]
-    high = [v + F.lit(1.0 / CELLS_PER_RADIUS) for v in low]
-    leaves = seeds.select(group, *_CELL).distinct()
-
-    # 1. a bound per occupied cell
-    up = leaves.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(GLOBE_LEVELS))))
-    up = up.withColumn("cell", _pack(F.col("level"), [_coarser(c, F.col("level")) for c in cell]))
-    samples = index.groupBy(group, "cell").agg(F.min(F.struct(*_END1)).alias("sample"))
-    reach = [F.greatest(F.abs(F.col(f"sample.{n}") - lo), F.abs(F.col(f"sample.{n}") - hi))
-             for n, lo, hi in zip(_END1, low, high)]
-    farthest = F.sqrt(sum((F.pow(r, F.lit(2)) for r in reach), F.lit(0.0)))
-    bounds = up.join(samples, [group, "cell"]).groupBy(group, *_CELL).agg(F.min(farthest).alias("bound"))
-    # rounding must never cut a winner
-    bounds = bounds.withColumn("bound", F.col("bound") * F.lit(1.000001) + F.lit(1e-12))
-
-    # 2. the short list per occupied cell
-    first = _level_as_wide_as(F.col("bound"))
-    wide = bounds.withColumn("first_level", first)
-    last = F.col("first_level") if only_points else F.lit(GLOBE_LEVELS)
-    wide = wide.withColumn("level", F.explode(F.sequence(F.col("first_level"), last)))
-    for name, lo, hi in zip(("nx", "ny", "nz"), low, high):
-        first_cell, last_cell = (_coarser(v, F.col("level")) for v in (
-            (lo - F.col("bound") + F.lit(1.0)) * F.lit(CELLS_PER_RADIUS),
-            (hi + F.col("bound") + F.lit(1.0)) * F.lit(CELLS_PER_RADIUS)))
-        wide = wide.withColumn(name, F.explode(F.sequence(first_cell, last_cell)))
-    wide = wide.withColumn("cell", _pack(F.col("level"), [F.col("nx"), F.col("ny"), F.col("nz")]))
-    wide = wide.withColumn("at_first", F.col("level") == F.col("first_level"))
-    wide = wide.select(group, *_CELL, "bound", "cell", "at_first")
-    a, b = [F.col(c) for c in _END1], [F.col(c) for c in _END2]
-    gap = _squared_gap(low, high, [F.least(u, v) for u, v in zip(a, b)], [F.greatest(u, v) for u, v in zip(a, b)])
-    reachable = (F.col("at_first") | F.col("is_own")) & (gap <= F.col("bound") * F.col("bound"))
-    lists = wide.join(index, [group, "cell"]).filter(reachable)
-    lists = lists.select(group, *_CELL, candidate_id, *_END1, *_END2)
+    seeds = _leaves(group, max(0, piece_level - 1), index, seeds)
+    seeds = materialize(seeds.select(point_id, group, "px", "py", "pz", *_LEAF))
+    lists = short_lists(seeds.select(group, *_LEAF).distinct(), index, group, piece_level, materialize) \
+        .select(group, *_LEAF, candidate_id, *_END1, *_END2)
     if not only_points:
-        lists = lists.distinct()  # a segment may be filed in several of the cells
+        lists = lists.distinct()  # a segment may come in several pieces and cells
+    a, b = [F.col(c) for c in _END1], [F.col(c) for c in _END2]
 
-    # 3. points against the short list of their cell
-    pairs = seeds.join(lists, [group, *_CELL])
+    # points against the short list of their cell
+    pairs = seeds.join(lists, [group, *_LEAF])
     if only_points:
         squared = geo.squared_to_point(p, a)
     else:

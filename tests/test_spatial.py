@@ -92,6 +92,47 @@ def test_contains_or_nearest_equals_brute_force(spark, layout):
     assert {(r.id, r.gid) for r in got} == expected
 
 
+@pytest.mark.parametrize("most", [64, 2])
+def test_nearest_edge_with_long_and_crowded_edges(spark, monkeypatch, most):
+    """Long borders beside many tiny shapes in one spot; ``most`` sends more of the points to the finest cells."""
+    monkeypatch.setattr(sp, "MOST_PIECES", most)
+    rnd = random.Random(21)
+    shapes = [(i, "A", outline(rnd.uniform(-150, 150), rnd.uniform(-60, 60), rnd.choice([0.5, 8]), 12, rnd)) for i in range(25)]
+    shapes += [(100 + i, "A", outline(-99.995 + rnd.uniform(-.02, .02), 30 + rnd.uniform(-.02, .02), 0.001, 5, rnd)) for i in range(60)]
+    shapes += [(200, "A", ring((-120.0, -30.0), (40.0, -30.0), (40.0, -50.0))), (201, "B", ring((-120.0, -30.0), (40.0, -30.0), (40.0, -50.0)))]
+    points = [(i, "A", rnd.uniform(-180, 180), rnd.uniform(-85, 85)) for i in range(300)]
+    points += [(1000 + i, "A", -99.995 + rnd.uniform(-.05, .05), 30 + rnd.uniform(-.05, .05)) for i in range(300)]
+    points += [(2000 + i, "B", rnd.uniform(-180, 180), rnd.uniform(-85, 85)) for i in range(30)]
+    got = sp.nearest_in_group(spark.createDataFrame(points, "id long, st string, lon double, lat double"),
+                              spark.createDataFrame(shapes, f"gid long, st string, poly {POLYGON}"), "id", "gid", "st", "lon", "lat", "poly")
+    expected = {}
+    for i, st, x, y in points:
+        p = unit(x, y)
+        expected[i] = min((min(to_segment(p, unit(a, b), unit(c, d)) for a, b, c, d in e), g) for g, s, e in shapes if s == st)
+    rows = {r.id: r for r in got.collect()}
+    assert {i: r.gid for i, r in rows.items()} == {i: g for i, (_, g) in expected.items()}
+    for i, (d2, _) in expected.items():
+        assert rows[i].distance == pytest.approx(2 * geo.EARTH_RADIUS_M * math.asin(min(1, math.sqrt(d2) / 2)), abs=0.05)
+
+
+def test_few_pieces_are_met_and_cut_again(spark):
+    """Rows before the last cut against rows after it, on the orders and suppliers of the test data."""
+    from suite import inputs
+    from suite.registry import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.01")
+    edges = inputs.polygon_from_corners(t.sql(inputs.SHAPES), "poly").select("gid", "state", F.explode("poly").alias("e"))
+    names = {n: v for k, ends in ((1, sp._END1), (2, sp._END2)) for n, v in zip(ends, geo.unit_vector(F.col(f"e.x{k}"), F.col(f"e.y{k}")))}
+    segments = edges.select("gid", "state", *[v.alias(n) for n, v in names.items()]).cache()
+    level = sp._piece_level(segments)
+    index = sp.written(sp._segment_index(segments, level))
+    seeds = t.sql(inputs.POINTS).withColumns(dict(zip(("px", "py", "pz"), geo.unit_vector("lon", "lat"))))
+    leaves = sp.written(sp._leaves("state", max(0, level - 1), index, seeds).select("state", *sp._LEAF).distinct())
+    before = sp.short_lists(leaves, index, "state", level, cut=False).count()
+    after = sp.short_lists(leaves, index, "state", level).count()
+    assert after <= before <= 2 * after
+
+
 def outline(x, y, r, n, rnd):
     """A closed ring of ``n`` edges around a centre, with bays."""
     corners = []
