@@ -46,7 +46,8 @@ def union_matching_tables(spark: SparkSession, pattern: str) -> DataFrame:
     return union_all(*[spark.table(n) for n in names])
 
 
-def append_new_only(df: DataFrame, target: str, key: str) -> DataFrame:
-    """Append the rows whose id the target does not have yet, so a second run adds nothing."""
-    append_aligned(join_not_in(df, read_target(df.sparkSession, target), key), target)
+def append_new_only(df: DataFrame, target: str, key: str, drop: Sequence[str] = (), fill: Sequence[str] = ()) -> DataFrame:
+    """Append the rows whose id the target does not have yet, so a second run adds nothing; ``drop`` and ``fill`` as in
+    ``append_aligned``."""
+    append_aligned(join_not_in(df, read_target(df.sparkSession, target), key), target, drop, fill)
     return read_target(df.sparkSession, target)

@@ -26,8 +26,9 @@ from parcelspark.operators.windows import top1
 from parcelspark.plans import listing_rules as rules
 from parcelspark.plans.location import enrich_location
 from parcelspark.plans.schools import assign_schools
+from parcelspark.sources.runs import read_parts, write_part
 from parcelspark.sources.schemas import DEMOGRAPHICS
-from parcelspark.sources.tables import append_aligned, written
+from parcelspark.sources.tables import append_aligned, read_target, written
 
 KEY = "listing_id"
 NARROW = [KEY, "lon", "lat", "state_prov_short", "close_dt"]
@@ -322,16 +323,34 @@ def build_month_increment(listings: DataFrame, known: DataFrame, dims: Mapping[s
     return {**stages, "final": sold_final(stages["raw"])}
 
 
-def append_stages(stages: Mapping[str, DataFrame], targets: Mapping[str, str]) -> None:
+#: Columns that the stages of the monthly run have beside those of the yearly tables.
+MONTHLY_ONLY = ["day_on_market"]
+
+
+def append_stages(stages: Mapping[str, DataFrame], targets: Mapping[str, str], drop: Sequence[str] = tuple(MONTHLY_ONLY)) -> None:
     """Append each stage to the table kept for it (the final table is rebuilt, not appended to).
 
     Ids already in a target are left out, so a repeated run adds nothing. The history table goes last: until it is
-    written, a rerun still sees the listings as new.
+    written, a rerun still sees the listings as new. Columns a target lacks raise, but for those in ``drop``.
     """
     for name in sorted(targets, key=lambda n: n == "base"):
         new = stages[name]
-        present = new.sparkSession.read.parquet(targets[name]).select(KEY)
-        append_aligned(join_not_in(new, present, KEY), targets[name])
+        present = read_target(new.sparkSession, targets[name]).select(KEY)
+        append_aligned(join_not_in(new, present, KEY), targets[name], drop)
+
+
+def month_run(listings: DataFrame, known: DataFrame, dims: Mapping[str, DataFrame], kind: str, as_of: date, root: str,
+              materialize: Materialize = written) -> str:
+    """One monthly run: its stages below ``root`` as a part of their own (such as ``2025-07``), visible when all are complete.
+
+    New are listings that neither ``known`` nor the base stage of an earlier month has; so a rerun of a month sees the same
+    ones as new and takes the place of its first run. Returns the name of the part.
+    """
+    part = f"{as_of:%Y-%m}"
+    ids = known.select(KEY)
+    before = read_parts(known.sparkSession, root, "base", ids.schema, before=part).select(KEY)
+    write_part(build_month_increment(listings, ids.unionByName(before), dims, kind, as_of, materialize), root, part)
+    return part
 
 
 def rebuild_from_base(base: DataFrame, dims: Mapping[str, DataFrame], sold: bool, as_of: date,

@@ -5,6 +5,7 @@ A target with a slash or a scheme is a parquet folder, any other name is a catal
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelspark.session import scratch_path
+from parcelspark.sources.runs import parts_of, read_part, write_part
 from parcelspark.sources.schemas import DIMENSIONS, LISTINGS
 
 
@@ -65,13 +67,17 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def append_aligned(df: DataFrame, target: str) -> None:
+def append_aligned(df: DataFrame, target: str, drop: Sequence[str] = (), fill: Sequence[str] = ()) -> None:
     """Append to ``target``, columns matched by name and cast to the target's types.
 
-    Columns the target lacks are left out; those ``df`` lacks become NULL.
+    Columns the target lacks must be named in ``drop`` to be left out, those ``df`` lacks in ``fill`` to become NULL: any other
+    difference raises, as it is more likely a mistake.
     """
     schema = read_target(df.sparkSession, target).schema
-    have = set(df.columns)
+    have, wanted = set(df.columns), {f.name for f in schema.fields}
+    unknown, missing = sorted(have - wanted - set(drop)), sorted(wanted - have - set(fill))
+    if unknown or missing:
+        raise ValueError(f"{target}: columns it does not have: {unknown}; columns that are missing: {missing}")
     aligned = df.select([
         (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields
     ])
@@ -97,19 +103,19 @@ def tables_like(spark: SparkSession, pattern: str, nonempty: bool = True) -> Dat
 
 
 def snapshot_version(df: DataFrame, root: str, name: str, version: int) -> DataFrame:
-    """Write ``df`` as one version of a named dataset; writing the same version again replaces it."""
-    path = f"{root}/{name}"
-    df.write.mode("overwrite").parquet(f"{path}/version={int(version)}")
+    """Write ``df`` as one version of a named dataset; writing the same version again replaces it.
+
+    A version is there for readers only once it is complete; until then they see the one before.
+    """
+    write_part({"data": df}, f"{root}/{name}", str(int(version)))
     return read_version(df.sparkSession, root, name, version)
 
 
 def read_version(spark: SparkSession, root: str, name: str, version: int | None = None) -> DataFrame:
-    """A stored version, the latest when none is named. Only the folder of that version is scanned."""
-    stored = spark.read.parquet(f"{root}/{name}")
+    """A complete version, the latest when none is named. Only the folder of that version is scanned."""
     if version is None:
-        # a partition value: no data column is read for it
-        version = stored.agg(F.max("version")).first()[0]
-    return stored.filter(F.col("version") == version)
+        version = max((int(p) for p in parts_of(spark, f"{root}/{name}")), default=0)
+    return read_part(spark, f"{root}/{name}", "data", str(int(version))).withColumn("version", F.lit(int(version)))
 
 
 def score_to_table(model, df: DataFrame, passthrough: list[str], target: str) -> DataFrame:

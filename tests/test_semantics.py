@@ -13,7 +13,9 @@ from parcelspark.operators import models as md
 from parcelspark.operators import setops as so
 from parcelspark.operators import text as ot
 from parcelspark.operators import windows as wn
+from parcelspark.plans import listings as ls
 from parcelspark.session import scratch_path
+from parcelspark.sources import runs as rn
 from parcelspark.sources import tables as tb
 
 
@@ -93,10 +95,62 @@ def test_append_is_idempotent_and_by_name(spark):
     spark.createDataFrame([(1, "a")], "id long, v string").write.parquet(path)
     new = spark.createDataFrame([("b", 2, 9), ("x", 1, 9)], "v string, id int, extra int")
     for _ in range(2):
-        so.append_new_only(new, path, "id")
+        so.append_new_only(new, path, "id", drop=["extra"])
     assert sorted(rows(spark.read.parquet(path))) == [(1, "a"), (2, "b")]
 
 
+def test_append_raises_on_other_columns(spark):
+    path = scratch_path(spark, "t")
+    spark.createDataFrame([(1, "a")], "id long, v string").write.parquet(path)
+    more, less = spark.createDataFrame([(2, "b", 3)], "id long, v string, w int"), spark.createDataFrame([(2,)], "id long")
+    for df, allowed in ((more, {"drop": ["w"]}), (less, {"fill": ["v"]})):
+        with pytest.raises(ValueError):
+            tb.append_aligned(df, path)
+        tb.append_aligned(df, path, **allowed)
+    assert sorted(map(str, rows(spark.read.parquet(path)))) == ["(1, 'a')", "(2, 'b')", "(2, None)"]
+
+
+def test_a_part_is_visible_only_when_complete(spark):
+    root = scratch_path(spark, "runs")
+    schema = "id long"
+    assert rn.parts_of(spark, root) == [] and rn.read_parts(spark, root, "base", schema).count() == 0
+    broken = spark.range(3).filter("raise_error('lost') IS NULL")
+    with pytest.raises(Exception, match="lost"):
+        rn.write_part({"base": spark.range(9), "final": broken}, root, "2025-01")
+    assert rn.parts_of(spark, root) == []
+    rn.write_part({"base": spark.range(9), "final": spark.range(2)}, root, "2025-01")
+    rn.write_part({"base": spark.range(1), "final": spark.range(1)}, root, "2025-02")
+    with pytest.raises(Exception, match="lost"):  # the run before stays
+        rn.write_part({"base": spark.range(5), "final": broken}, root, "2025-01")
+    assert rn.read_part(spark, root, "base", "2025-01").count() == 9
+    rn.write_part({"base": spark.range(4), "final": spark.range(0)}, root, "2025-01")
+    both = rn.read_parts(spark, root, "base", schema)
+    assert sorted(rows(both)) == [(0, "2025-01"), (0, "2025-02"), (1, "2025-01"), (2, "2025-01"), (3, "2025-01")]
+    assert sorted(rows(rn.read_parts(spark, root, "final", schema, column="of"))) == [(0, "2025-02")]
+    assert rows(rn.read_parts(spark, root, "base", schema, before="2025-01")) == []
+    with pytest.raises(ValueError):
+        rn.read_part(spark, root, "base", "2025-09")
+
+
+def test_month_run_and_rerun_give_the_same_tables(spark):
+    from suite import inputs
+    from suite.registry import Tables
+    from suite.tables import AS_OF, KNOWN
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    listings, dims, known = tb.written(inputs.nested_listings(t)), inputs.dimensions(t), t.sql(KNOWN)
+    root = scratch_path(spark, "months")
+    part = ls.month_run(listings, known, dims, "houses", AS_OF, root)
+    assert rn.parts_of(spark, root) == [part]
+    base = rn.read_part(spark, root, "base", part)
+    first = sorted(r.listing_id for r in base.select("listing_id").collect())
+    assert first and "day_on_market" in base.columns
+    ls.month_run(listings, known, dims, "houses", AS_OF, root)  # a rerun sees the same listings as new
+    assert sorted(r.listing_id for r in rn.read_part(spark, root, "base", part).select("listing_id").collect()) == first
+    later = ls.month_run(listings, known, dims, "houses", AS_OF.replace(month=AS_OF.month + 1), root)
+    assert not set(first) & {r.listing_id for r in rn.read_part(spark, root, "base", later).select("listing_id").collect()}
+
+
 def test_replace_and_versions(spark):
     path = scratch_path(spark, "t")
     tb.replace_table(spark.range(5), path)
