@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from parcelspark.functions import geometry as geo
 from parcelspark.operators import spatial as sp
+from parcelspark.plans.location import enrich_location
 
 POLYGON = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
 
@@ -184,6 +185,17 @@ def test_polygon_text_with_hole_and_parts(spark):
     assert got == {(2, "hole"), (3, "hole"), (3, "two"), (4, "two")}
 
 
+def test_a_listing_with_two_places_keeps_one_of_them_whole(spark):
+    square = lambda x: ring((x, 0.0), (x + 1, 0.0), (x + 1, 1.0), (x, 1.0))
+    groups = spark.createDataFrame([("G2", square(0.0)), ("G1", square(10.0))], f"GEOID string, geometry {POLYGON}")
+    metros = spark.createDataFrame([("100", "West", "A", square(0.0)), ("200", "East", "A", square(10.0))],
+                                   f"cbsa string, metropolitan_area_name string, state_prov_short string, metro_polygon {POLYGON}")
+    listings = spark.createDataFrame([("L1", 0.5, 0.5, "A"), ("L1", 10.5, 0.5, "A"), ("L2", 0.5, 0.4, "A"), ("L2", 0.5, 0.4, "A"),
+                                      ("L3", 0.5, 0.4, None)], "listing_id string, lon double, lat double, state_prov_short string")
+    got = {r.listing_id: (r.GEOID, r.cbsa, r.metropolitan_area_name, r.lon) for r in enrich_location(listings, groups, metros).collect()}
+    assert got == {"L1": ("G1", 200, "East", 10.5), "L2": ("G2", 100, "West", 0.5), "L3": ("G2", 100, "West", 0.5)}
+
+
 def test_no_polygons_gives_no_rows(spark):
     points = spark.createDataFrame([(1, 1.5, 1.5)], "id int, lon double, lat double")
     assert sp.spatial_join(points, spark.createDataFrame([], f"name string, poly {POLYGON}"), "lon", "lat",
