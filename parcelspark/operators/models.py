@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelspark.operators.aggregates import argmin_model
@@ -73,6 +73,25 @@ ALLOWED_FEATURE_LISTS = ["All_trends", "Statical_list"]
 PHOTO_FEATURE_LISTS = ["Statical_list_photos"]
 FULL_SAMPLE_PCT = 100
 
+# Columns that are no features of any model, and those that the reduced feature list leaves out as well.
+NO_FEATURES = [
+    "listing_id", "close_dt", "close_dt (Year)", "close_dt (Month)", "close_dt (Day of Week)",
+    "close_dt (Day of Month)", "latitude", "longitude", "geometry",
+]
+LEFT_OUT_OF_STATICAL_LIST = [
+    "public_water", "well_water", "other_water_source", "no_water_source", "private_water", "not_connected_water",
+    "culinary_water", "stucco_materials", "ceramic_floorings", "tile_floorings", "wood_materials", "garage_parking",
+    "fiberglass_roof_type", "wood_floorings", "no_floorings_info", "carpet_floorings", "hardwood_floorings",
+    "linoleum_floorings", "laminate_floorings", "vinyl_floorings", "carport_parking", "street_parking",
+    "assigned_parking", "two_car_parking", "attached_parking", "door_opener_parking", "guest_parking",
+    "driveway_parking", "no_construction_materials", "other_floorings", "no_parking_features", "other_roof_type",
+    "shingle_roof_type", "tile_roof_type", "composition_roof_type", "asphalt_roof_type", "metal_roof_type",
+    "architectural_roof_type", "pitched_roof_type", "flat_roof_type", "concrete_roof_type", "slate_roof_type",
+    "wood_roof_type", "underground_utilities", "sewer", "natural_gas", "vinyl_materials", "brick_materials",
+    "aluminum_materials", "frame_materials", "site_built_materials", "block_materials", "concrete_materials",
+    "cement_materials", "no_roof_type", "other_construction_materials", "stone_materials", "detached_parking",
+]
+
 
 def segment_names(suffixes: Sequence[str] = ("_combined_not_sold", "_combined")) -> list[str]:
     """Dataset names of all segments: name, metro codes and suffix."""
@@ -93,23 +112,35 @@ def segment_by_metro(df: DataFrame, segments: Mapping[str, Sequence[int]], code:
     return df.withColumn(out, F.coalesce(found, F.lit(rest)))
 
 
-def select_features(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
-    """Drop the excluded columns and those without information (all NULL or one single value).
+def select_features(df: DataFrame, exclude: Sequence[str] = (), key: str | None = None) -> DataFrame:
+    """Drop the excluded columns and those without information: all NULL, one single value or, with ``key``, the same in every
+    row as an earlier column of the same type.
 
-    One aggregate row with minimum and maximum per column decides; arrays, maps and structs are not features.
+    One aggregate row decides: minimum, maximum and, to find repeated columns, an exclusive or over the rows of a 64-bit hash of the
+    value and the row's key (unique, else equal rows cancel out). Arrays, maps and structs are not features.
     """
     excluded = set(exclude)
-    plain = [f.name for f in df.schema.fields
+    plain = [f for f in df.schema.fields
              if f.name not in excluded and f.dataType.typeName() not in ("array", "map", "struct")]
     if not plain:
         return df.select()
-    row = df.agg(*[F.struct(F.min(F.col(c)), F.max(F.col(c)), F.count(F.col(c)) == F.count(F.lit(1))).alias(c)
-                   for c in plain]).first()
-    informative = []
-    for c in plain:
-        low, high, complete = row[c]
-        if low is not None and (low != high or not complete):
-            informative.append(c)
+
+    def measures(c: str) -> Column:
+        value = F.col(f"`{c}`")
+        mark = F.bit_xor(F.xxhash64(F.lit(1), value, F.col(key)) if key else F.lit(0))
+        return F.struct(F.min(value).alias("low"), F.max(value).alias("high"), (F.count(value) == F.count(F.lit(1))).alias("complete"),
+                        mark.alias("mark"))
+
+    row = df.agg(*[measures(f.name).alias(f"c{i}") for i, f in enumerate(plain)]).first()
+    informative, seen = [], set()
+    for i, f in enumerate(plain):
+        c = row[f"c{i}"]
+        if c.low is None or (c.low == c.high and c.complete):
+            continue
+        if key and (f.dataType, c.mark) in seen:
+            continue
+        seen.add((f.dataType, c.mark))
+        informative.append(F.col(f"`{f.name}`"))
     return df.select(*informative)
 
 

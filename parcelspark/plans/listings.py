@@ -340,8 +340,11 @@ def append_stages(stages: Mapping[str, DataFrame], targets: Mapping[str, str], d
 
 
 def month_run(listings: DataFrame, known: DataFrame, dims: Mapping[str, DataFrame], kind: str, as_of: date, root: str,
-              materialize: Materialize = written) -> str:
-    """One monthly run: its stages below ``root`` as a part of their own (such as ``2025-07``), visible when all are complete.
+              with_notsold: bool = True, materialize: Materialize = written) -> str:
+    """One monthly run: its tables below ``root`` as a part of their own (such as ``2025-07``), visible when all are complete.
+
+    They are the stages and ``final`` of the newly sold homes, ``reduced`` (its sample, for the kinds that have one; the samples of all
+    months make the sample of all rows) and ``notsold``, the scoring table of all homes still open.
 
     New are listings that neither ``known`` nor the base stage of an earlier month has; so a rerun of a month sees the same
     ones as new and takes the place of its first run. Returns the name of the part.
@@ -349,7 +352,13 @@ def month_run(listings: DataFrame, known: DataFrame, dims: Mapping[str, DataFram
     part = f"{as_of:%Y-%m}"
     ids = known.select(KEY)
     before = read_parts(known.sparkSession, root, "base", ids.schema, before=part).select(KEY)
-    write_part(build_month_increment(listings, ids.unionByName(before), dims, kind, as_of, materialize), root, part)
+    tables = build_month_increment(listings, ids.unionByName(before), dims, kind, as_of, materialize)
+    reduced = sampled_training_table(tables["final"], kind)
+    if reduced is not None:
+        tables["reduced"] = reduced
+    if with_notsold:
+        tables["notsold"] = build_notsold_features(listings, dims, kind, as_of, materialize=materialize)
+    write_part(tables, root, part)
     return part
 
 

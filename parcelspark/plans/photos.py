@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from parcelspark.operators import features as ft
 from parcelspark.operators.aggregates import distinct_rows, guarded_percentages
 from parcelspark.operators.filters import filter_equals
 from parcelspark.operators.joins import join_inner_using, join_star_left
+from parcelspark.operators.models import PHOTO_CITIES
 
 # Photo classes. Those of the second list do not count in an unfurnished room.
 PLAIN_CLASSES = ["house_plan", "closet", "immaculate_kitchen_light", "immaculate_kitchen_dark", "kitchen",
@@ -48,6 +50,30 @@ def photo_scores(photos: DataFrame, classes: Mapping[str, DataFrame]) -> DataFra
                                {"private_pool": "private_pool"})
 
 
+# Columns that the tables with photo scores leave out.
+NOT_IN_PHOTO_TABLES = [
+    "city_long", "address", "mls_id", "mls_number", "metropolitan_area_name", "cbsa", "postal_code", "postal_code_short", "state_prov_short",
+    "current_listing_price",
+]
+NOT_IN_SOLD, NOT_IN_NOTSOLD = ["listing_status"], ["GEOID", "sa_mls_id"]
+
+
+def photo_tables(scores: DataFrame, sold: Mapping[str, DataFrame], notsold: Mapping[str, DataFrame],
+                 cities: Mapping[str, int] = PHOTO_CITIES) -> dict[tuple[str, bool], DataFrame]:
+    """The training (True) and scoring (False) tables with photo scores, by kind of home and sold or not, each with a ``city``.
+
+    All cities come from one pass over a feature table; write a table with ``partitionBy("city")`` to keep one a city. Listings
+    outside the cities, or without scores, have no row.
+    """
+    code = F.create_map(*[F.lit(v) for city, metro in cities.items() for v in (metro, city)])
+    out = {}
+    for is_sold, tables, more in ((True, sold, NOT_IN_SOLD), (False, notsold, NOT_IN_NOTSOLD)):
+        for kind, features in tables.items():
+            in_city = features.withColumn("city", F.try_element_at(code, F.col("cbsa").cast("int"))).filter(F.col("city").isNotNull())
+            out[kind, is_sold] = join_inner_using(in_city, scores, LISTING_KEYS).drop(*NOT_IN_PHOTO_TABLES, *more)
+    return out
+
+
 def join_scores(scores: DataFrame, features: DataFrame, metro: int, drop: list[str]) -> DataFrame:
     """Feature rows of one metro that have photo scores."""
     in_metro = filter_equals(features, "cbsa", metro)

@@ -29,6 +29,15 @@ def select_features(t):
     return md.select_features(df, ["c_custkey", "c_name"])
 
 
+@query("select_features_once", """SELECT c_custkey, c_nationkey, c_acctbal, CASE WHEN c_custkey % 2 = 0 THEN c_nationkey END AS half,
+c_mktsegment FROM {customer}""")
+def select_features_once(t):
+    df = t.customer.select(
+        "c_custkey", "c_nationkey", "c_acctbal", F.col("c_nationkey").alias("again"), F.when(F.col("c_custkey") % 2 == 0, F.col("c_nationkey")).alias("half"),
+        "c_mktsegment", F.concat("c_mktsegment", F.lit("")).alias("sewer"), F.col("c_custkey").alias("latitude"), F.lit("x").alias("fixed"))
+    return md.select_features(df.withColumn("twice", F.col("half") * 2 - F.col("half")), md.NO_FEATURES + md.LEFT_OUT_OF_STATICAL_LIST, "c_custkey")
+
+
 @query("split_tvh", f"""SELECT o_orderkey, CASE WHEN {bucket_sql('o_orderkey', 100)} < 2 THEN 'validation'
 WHEN {bucket_sql('o_orderkey', 100)} < 4 THEN 'holdout' ELSE 'train' END AS part FROM {{orders}}""")
 def split_tvh(t):

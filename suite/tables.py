@@ -1,19 +1,21 @@
 """Whole feature tables, from nested listings derived from orders."""
 
 from datetime import date
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelspark.operators.models import PHOTO_CITIES
 from parcelspark.plans import listing_rules as rules
 from parcelspark.plans import listings as ls
-from parcelspark.plans.photos import join_scores, photo_scores
+from parcelspark.plans.photos import join_scores, photo_scores, photo_tables
 from parcelspark.plans.sweep import run_for_each
 from parcelspark.session import scratch_path
 from parcelspark.sources.schemas import DEMOGRAPHICS
 from parcelspark.sources.tables import written
 from suite import inputs
-from suite.groups import PHOTO_CTES
+from suite.groups import PHOTO_CTES, bucket_sql
 from suite.inputs import (BOOLEAN_SOURCE, CLIMATE, DEMOGRAPHIC_ROWS, LISTINGS_FLAT, MEDIA, MORTGAGE, PRICE_INDEX,
                           QUARTER_TREND, STATE_POPULATION, STATE_TREND, TEXTS, UNEMPLOYMENT, edges_sql, inside_sql,
                           with_ctes)
@@ -242,3 +244,32 @@ def run_for_each_query(t):
         return join_scores(scores, t.sql(CITY_OF), metro, ["mls_id", "mls_number", "cbsa", "address"])
 
     return run_for_each(build, {city: {"metro": code} for city, code in PHOTO_CITIES.items()})
+
+
+# listings of two kinds, sold and open, with the columns that the tables with photo scores leave out
+WITH_PHOTOS = """SELECT DISTINCT 'M' || CAST(user_id % 20 AS STRING) AS mls_id, 'N' || CAST(user_id AS STRING) AS mls_number,
+  CAST(CASE user_id % 4 WHEN 0 THEN 12420 WHEN 1 THEN 12060 WHEN 2 THEN 42660 ELSE 1 END AS BIGINT) AS cbsa, user_id AS listing_id,
+  'x' AS city_long, 'x' AS address, 'x' AS metropolitan_area_name, 'x' AS postal_code, 'x' AS postal_code_short, 'x' AS state_prov_short,
+  1 AS current_listing_price, 'Sold' AS listing_status, 'g' AS GEOID, 's' AS sa_mls_id FROM {events}"""
+PHOTO_KINDS = {("houses", True): 0, ("houses", False): 1, ("condos", True): 2, ("condos", False): 3}
+
+
+@query("photo_tables", with_ctes({**PHOTO_CTES, "listed": WITH_PHOTOS}, "\nUNION ALL ".join(f"""
+SELECT scores.* EXCLUDE (mls_id, mls_number), l.listing_id, '{kind}' AS kind, {str(sold).lower()} AS sold,
+ CASE l.cbsa WHEN 12420 THEN 'austin' WHEN 12060 THEN 'atlanta' ELSE 'seattle' END AS city
+FROM scores JOIN listed l ON scores.mls_id = l.mls_id AND scores.mls_number = l.mls_number
+WHERE l.cbsa > 1 AND l.listing_id % 5 <> {rest}""" for (kind, sold), rest in PHOTO_KINDS.items())))
+def photo_tables_query(t):
+    scores, listed = written(photo_scores(*inputs.photo_inputs(t))), t.sql(WITH_PHOTOS)
+    parts = {k: listed.filter(F.col("listing_id") % 5 != rest) for k, rest in PHOTO_KINDS.items()}
+    made = photo_tables(scores, {k: parts[k, True] for k in ("houses", "condos")}, {k: parts[k, False] for k in ("houses", "condos")})
+    left = {True: ["GEOID", "sa_mls_id"], False: ["listing_status"]}  # what only the other kind of table leaves out
+    return reduce(DataFrame.unionByName, [df.drop(*left[sold]).withColumns({"kind": F.lit(kind), "sold": F.lit(sold)})
+                                          for (kind, sold), df in made.items()])
+
+
+@query("sampled_training_table", f"SELECT o_orderkey AS listing_id, o_totalprice FROM {{orders}} WHERE {bucket_sql('o_orderkey', 10000)} < 2500")
+def sampled_training_table(t):
+    final = t.orders.select(F.col("o_orderkey").alias("listing_id"), "o_totalprice")
+    assert ls.sampled_training_table(final, "condos") is None
+    return ls.sampled_training_table(final, "houses")
