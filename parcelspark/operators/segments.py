@@ -71,6 +71,24 @@ class SegmentRegressions:
         return met.select("row.*", price_of(eta).alias(out))
 
 
+    def effect(self, df: DataFrame, feature: str, grid: Sequence[float]) -> DataFrame:
+        """segment, value, mean_prediction: the mean price of each segment's rows if ``feature`` had each value of ``grid`` in all of them.
+
+        The price is a product, so the factor of the other terms is averaged once and each grid value is one more factor: one pass
+        over the rows, not one a value. Segments without a model have no rows.
+        """
+        j = self.features.index(feature)
+        met = with_model(df, self.segment, self.table).filter(F.col("beta").isNotNull())
+        x = [number_in(met.row[c]) for c in self.features]
+        own = {1 + j} | {1 + len(self.features) + i for i, g in enumerate(self.gaps) if g == j}
+        rest = add_all([t * F.col("beta")[i] for i, t in enumerate(terms(x, self.gaps)) if i not in own])
+        # a segment's model is the same in all its rows, so any of them will do
+        base = met.groupBy("model_segment").agg(F.avg(price_of(rest)).alias("base"), *[F.first(c).alias(c) for c in ("beta", "center", "scale")])
+        values = base.withColumn("value", F.explode(F.array(*[F.lit(float(v)) for v in grid])))
+        factor = F.exp(F.col("beta")[1 + j] * (F.col("value") - F.col("center")[j]) / F.col("scale")[j])
+        return values.select(F.col("model_segment").alias(self.segment), "value", (F.col("base") * factor).alias("mean_prediction"))
+
+
 def number_in(value: Column) -> Column:
     value = value.cast("double")
     return F.when(~F.isnan(value), value)

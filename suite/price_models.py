@@ -43,6 +43,15 @@ def train_segments(t):
         F.count(F.lit(1)).alias("n"), round_half_up(F.max("prediction"), 2).alias("prediction"))
 
 
+@query("segment_effect", f"""SELECT segment, CAST(value AS DOUBLE) AS value,
+floor(avg(CASE WHEN (CASE WHEN status = 'F' THEN 1 ELSE 0 END) = value THEN close_price END) * 1e2 + 5e-1) / 1e2 AS mean_prediction
+FROM ({SOLD}) x CROSS JOIN (SELECT 0 AS value UNION ALL SELECT 1) g GROUP BY segment, value""")
+def segment_effect(t):
+    rows = homes(t)
+    found = sg.train_segments(rows, "segment", ["status_0"]).effect(rows, "status_0", [0, 1])
+    return found.withColumn("mean_prediction", round_half_up(F.col("mean_prediction"), 2))
+
+
 BUCKET = bucket_sql("o_orderkey", 100)
 GROUPED = """SELECT x.*, avg(CASE WHEN b >= 4 THEN close_price END) OVER (PARTITION BY segment, coalesce(priority, 'none')) AS by_priority,
   avg(CASE WHEN b >= 4 THEN close_price END) OVER (PARTITION BY segment, status) AS by_status,

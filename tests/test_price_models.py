@@ -69,6 +69,17 @@ def test_every_row_is_scored_where_there_is_a_model(spark, homes):
         assert none.table.count() == 0 and none.transform(odd).filter("prediction IS NOT NULL").count() == 0
 
 
+def test_effect_equals_scoring_every_row_at_every_value(homes):
+    model = sg.train_segments(homes, "seg", ["u", "v", "c"], iterations=4)
+    grid = [-1.0, 0.0, 2.5]
+    for feature in ("u", "v"):
+        got = {(r.seg, r.value): r.mean_prediction for r in model.effect(homes, feature, grid).collect()}
+        assert len(got) == 9
+        for value in grid:
+            for r in model.transform(homes.withColumn(feature, F.lit(value))).groupBy("seg").agg(F.avg("prediction").alias("p")).collect():
+                assert got[r.seg, value] == pytest.approx(r.p, rel=1e-9)
+
+
 def test_terms_without_spread_and_repeated_terms(spark):
     rows = [(i, "a", float(i % 2), float(i % 2), 7, 10.0 if i % 2 else 20.0, "x", "x", "x") for i in range(50)]
     df = spark.createDataFrame(rows, SCHEMA)
