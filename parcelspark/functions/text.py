@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -72,7 +73,8 @@ CYRILLIC = {
 # arrows aside, enclosed letters, ideographic space, ligatures, full-width forms).
 COMPATIBLE = [(0x2000, 0x200B), (0x2010, 0x2016), (0x202F, 0x2030), (0x2070, 0x20A0), (0x2100, 0x2150), (0x2150, 0x2190),
               (0x2460, 0x2500), (0x3000, 0x3001), (0xFB00, 0xFB07), (0xFF01, 0xFF5F)]
-#: Combining marks, soft hyphens, joiners, direction marks, byte order marks, variation selectors.
+#: Characters beyond ASCII; of them, combining marks, soft hyphens, joiners, direction marks, byte order marks, variation selectors.
+NOT_ASCII = r"[^\x00-\x7F]"
 WIDTHLESS = r"[\u0300-\u036F\u00AD\u200B-\u200F\u202A-\u202E\u2060-\u2064\uFE00-\uFE0F\uFEFF]"
 
 
@@ -143,15 +145,26 @@ def scrubbed(c: str | Column) -> Column:
     letter and characters without width go; every other character becomes a question mark, so a text that says something
     never becomes empty.
     """
-    text = F.translate(as_column(c), ACCENTED + ONE_LETTER, BASE + ONE_LETTER_BASE)
-    return F.trim(F.regexp_replace(F.when(text.rlike(r"[^\x00-\x7F]"), _spelled(text)).otherwise(text), r"\s+", " "))
+    text = as_column(c)
+    latin = F.translate(text, ACCENTED + ONE_LETTER, BASE + ONE_LETTER_BASE)
+    plain = _if_needed(_if_needed(latin, lambda t: _replaced(t, SPELLED_OUT)), _spelled)
+    return F.trim(F.regexp_replace(F.when(text.rlike(NOT_ASCII), plain).otherwise(text), r"\s+", " "))
 
 
-def _spelled(text: Column) -> Column:
-    """The characters that take several letters, and the fallback for the rest: for the few texts that still need them."""
-    for char, spelled in (SPELLED_OUT | SEVERAL_LETTERS).items():
+def _if_needed(text: Column, step: Callable[[Column], Column]) -> Column:
+    """``step`` of the texts that are not plain ASCII yet. A column in an array of one is worked out once, though it is used twice."""
+    return F.transform(F.array(text), lambda t: F.when(t.rlike(NOT_ASCII), step(t)).otherwise(t))[0]
+
+
+def _replaced(text: Column, table: Mapping[str, str]) -> Column:
+    for char, spelled in table.items():
         text = F.replace(text, F.lit(char), F.lit(spelled))
-    return F.regexp_replace(F.regexp_replace(text, WIDTHLESS, ""), r"[^\x00-\x7F]", "?")
+    return text
+
+
+def _spelled(text: Column) -> Column:
+    """The rarer characters that take several letters, and the fallback for the rest."""
+    return F.regexp_replace(F.regexp_replace(_replaced(text, SEVERAL_LETTERS), WIDTHLESS, ""), NOT_ASCII, "?")
 
 
 def words_of(c: str | Column) -> Column:
