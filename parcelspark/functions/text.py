@@ -142,8 +142,8 @@ def scrubbed(c: str | Column) -> Column:
     """Plain ASCII with single spaces.
 
     Latin, Greek and Cyrillic letters and compatibility forms get their Latin spelling; marks that only change another
-    letter and characters without width go; every other character becomes a question mark, so a text that says something
-    never becomes empty.
+    letter and characters without width go, and so do characters of other scripts, but where a text has nothing else each becomes
+    a question mark: a text that says something never becomes empty.
     """
     text = as_column(c)
     latin = F.translate(text, ACCENTED + ONE_LETTER, BASE + ONE_LETTER_BASE)
@@ -164,7 +164,11 @@ def _replaced(text: Column, table: Mapping[str, str]) -> Column:
 
 def _spelled(text: Column) -> Column:
     """The rarer characters that take several letters, and the fallback for the rest."""
-    return F.regexp_replace(F.regexp_replace(_replaced(text, SEVERAL_LETTERS), WIDTHLESS, ""), NOT_ASCII, "?")
+    def without_rest(t: Column) -> Column:
+        left = F.regexp_replace(t, NOT_ASCII, "")
+        return F.when(left.rlike(r"\S"), left).otherwise(F.regexp_replace(t, NOT_ASCII, "?"))
+
+    return F.transform(F.array(F.regexp_replace(_replaced(text, SEVERAL_LETTERS), WIDTHLESS, "")), without_rest)[0]
 
 
 def words_of(c: str | Column) -> Column:

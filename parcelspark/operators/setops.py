@@ -46,8 +46,13 @@ def union_matching_tables(spark: SparkSession, pattern: str) -> DataFrame:
     return union_all(*[spark.table(n) for n in names])
 
 
-def append_new_only(df: DataFrame, target: str, key: str, drop: Sequence[str] = (), fill: Sequence[str] = ()) -> DataFrame:
-    """Append the rows whose id the target does not have yet, so a second run adds nothing; ``drop`` and ``fill`` as in
-    ``append_aligned``."""
-    append_aligned(join_not_in(df, read_target(df.sparkSession, target), key), target, drop, fill)
+def append_new_only(df: DataFrame, target: str, key: str, drop: Sequence[str] | None = None, fill: Sequence[str] = ()) -> DataFrame:
+    """Append the rows whose id the target does not have yet, so a second run adds nothing.
+
+    ``drop`` names the columns that may be left out because the target lacks them (all such columns unless given), ``fill`` those
+    that may be missing and become NULL; any other difference raises.
+    """
+    present = read_target(df.sparkSession, target)
+    left_out = [c for c in df.columns if c not in present.columns] if drop is None else drop
+    append_aligned(join_not_in(df, present, key), target, left_out, fill)
     return read_target(df.sparkSession, target)

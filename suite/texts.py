@@ -69,15 +69,15 @@ def scrub_text(t):
 
 # names in Cyrillic or Greek letters, and in Latin ones again; then signs of several letters, marks, and what has no Latin spelling
 CYRILLIC, GREEK = ("abvgdezyiklmnoprstuf", "абвгдезйиклмнопрстуф"), ("abgdeziklmnxoprstu", "αβγδεζικλμνξοπρστυ")
-MIXED = f"""SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN translate(lower(p_name), '{CYRILLIC[0]}', '{CYRILLIC[1]}')
+MIXED = f"""SELECT p_partkey, CASE WHEN p_partkey % 7 = 6 THEN ' 東 京' ELSE CASE p_partkey % 3 WHEN 0 THEN translate(lower(p_name), '{CYRILLIC[0]}', '{CYRILLIC[1]}')
   WHEN 1 THEN translate(lower(p_name), '{GREEK[0]}', '{GREEK[1]}') ELSE p_name END ||
   CASE p_partkey % 5 WHEN 0 THEN ' Щука Жуков ёж' WHEN 1 THEN ' Θεός ψυχή Ὀδυσσεύς' WHEN 2 THEN ' ﬁn １２ Ⅷ ½ ™' WHEN 3 THEN ' 東京 е́'
-  ELSE '' END AS text FROM {{part}}"""
+  ELSE '' END END AS text FROM {{part}}"""
 
 
-@query("scrub_scripts", """SELECT p_partkey, CASE WHEN p_partkey % 3 < 2 THEN lower(p_name) ELSE p_name END ||
-CASE p_partkey % 5 WHEN 0 THEN ' Shchuka Zhukov ezh' WHEN 1 THEN ' Theos psuche Odusseus' WHEN 2 THEN ' fin 12 VIII 1/2 TM' WHEN 3 THEN ' ?? e'
- ELSE '' END AS plain FROM {part}""")
+@query("scrub_scripts", """SELECT p_partkey, CASE WHEN p_partkey % 7 = 6 THEN '? ?' ELSE CASE WHEN p_partkey % 3 < 2 THEN lower(p_name) ELSE p_name END ||
+CASE p_partkey % 5 WHEN 0 THEN ' Shchuka Zhukov ezh' WHEN 1 THEN ' Theos psuche Odusseus' WHEN 2 THEN ' fin 12 VIII 1/2 TM' WHEN 3 THEN ' e'
+ ELSE '' END END AS plain FROM {part}""")
 def scrub_scripts(t):
     return ot.scrub_text(t.sql(MIXED), "text", "plain").drop("text")
 

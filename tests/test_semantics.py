@@ -95,7 +95,7 @@ def test_append_is_idempotent_and_by_name(spark):
     spark.createDataFrame([(1, "a")], "id long, v string").write.parquet(path)
     new = spark.createDataFrame([("b", 2, 9), ("x", 1, 9)], "v string, id int, extra int")
     for _ in range(2):
-        so.append_new_only(new, path, "id", drop=["extra"])
+        so.append_new_only(new, path, "id")
     assert sorted(rows(spark.read.parquet(path))) == [(1, "a"), (2, "b")]
 
 
@@ -110,6 +110,13 @@ def test_append_raises_on_other_columns(spark):
     assert sorted(map(str, rows(spark.read.parquet(path)))) == ["(1, 'a')", "(2, 'b')", "(2, None)"]
 
 
+def test_append_new_only_raises_when_told_what_may_go(spark):
+    path = scratch_path(spark, "t")
+    spark.createDataFrame([(1, "a")], "id long, v string").write.parquet(path)
+    with pytest.raises(ValueError):
+        so.append_new_only(spark.createDataFrame([(2, "b", 9)], "id long, v string, w int"), path, "id", drop=[])
+
+
 def test_a_part_is_visible_only_when_complete(spark):
     root = scratch_path(spark, "runs")
     schema = "id long"
