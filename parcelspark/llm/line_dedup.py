@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelspark.llm.graph import components
-from parcelspark.llm.texts import STEP, U64, byte_hashes, mixed, slices, texts_of, times
+from parcelspark.llm.near_dedup import NODE, node_of
+from parcelspark.llm.texts import KEEP, SLICE_BYTES, STEP, U64, mixed, slices, texts_of, times
 from parcelspark.sources.tables import written
 
 FACTOR = 0x5851F42D4C957F2D
@@ -37,26 +39,58 @@ class Lines:
         no = np.arange(len(start)) - first[text]
         long = breaks - start >= least
         self.text, self.no, self.start, self.end = text[long], no[long], start[long], breaks[long]
-        self.key = byte_hashes(self.data, self.start, self.end)
+        self.key = line_hashes(self.data, self.start, self.end)
 
 
-def powers(n: int, factor: int) -> np.ndarray:
+def line_hashes(data: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of each stretch of ``data`` from the sum of its scrambled (eight bytes, place) pieces, all stretches at once.
+
+    ``data`` must go on for eight bytes after the last one.
+    """
+    eight = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+    if not len(start):
+        return np.zeros(0, U64)
+    pieces = np.maximum((end - start + 7) // 8, 1)
+    first = np.cumsum(pieces) - pieces
+    place = np.arange(pieces.sum()) - np.repeat(first, pieces)
+    at = np.repeat(start, pieces) + 8 * place
+    piece = eight[at] & KEEP[np.minimum(np.repeat(end, pieces) - at, 8)]
+    sums = np.add.reduceat(mixed(piece + mixed((place.astype(U64) + U64(1)) * STEP)), first)
+    return mixed(sums + (end - start).astype(U64) * STEP)
+
+
+@lru_cache(maxsize=2)
+def _powers(n: int, factor: int) -> np.ndarray:
     out = np.full(n, factor, U64)
     out[0] = 1
     return np.multiply.accumulate(out)
 
 
-def parities(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Of each stretch, 32 parities of bytes and 32 of pairs of bytes, by class.
+def powers(n: int, factor: int) -> np.ndarray:
+    """1, factor, factor^2, ...: worked out once for all slices of usual size."""
+    usual = SLICE_BYTES + 4096
+    return _powers(usual, factor)[:n] if n <= usual else _powers.__wrapped__(n, factor)
+
+
+def _mark_table() -> np.ndarray:
+    """For each two bytes (the first one low): the bit of the first byte's class and the bit of the pair's class."""
+    first, second = np.arange(1 << 16, dtype=np.uint32) & 255, np.arange(1 << 16, dtype=np.uint32) >> 8
+    pair = (first * np.uint32(31) + second) * np.uint32(0x85EBCA6B) >> np.uint32(27)
+    return SINGLE[first] | U64(1) << (U64(32) + pair.astype(U64))
+
+
+SINGLE = U64(1) << ((np.arange(256, dtype=np.uint32) * np.uint32(0x9E3779B1) >> np.uint32(27)) & np.uint32(31)).astype(U64)
+MARKS = _mark_table()
+
+
+def parities(data: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Of each stretch, 32 parities of bytes and 32 of pairs of bytes, by class. Stretches are not empty.
 
     One edit changes two of the first and four of the second at most, so they tell far lines apart without losing near ones.
     """
-    pair = data[:-1].astype(np.uint32) * 31 + data[1:]
-    single = U64(1) << ((data.astype(np.uint32) * 0x9E3779B1 >> 27) & 31).astype(U64)
-    double = U64(1) << (32 + ((pair * np.uint32(0x85EBCA6B)) >> np.uint32(27))).astype(U64)
-    one = np.bitwise_xor.accumulate(np.append(U64(0), single))
-    two = np.bitwise_xor.accumulate(np.append(U64(0), double))
-    return (one[end] ^ one[start]) | (two[end - 1] ^ two[start])
+    two = np.ndarray((len(data) - 1,), "<u2", data, strides=(1,))
+    run = np.append(U64(0), np.bitwise_xor.accumulate(MARKS[two]))
+    return run[end - 1] ^ run[start] ^ SINGLE[np.frombuffer(data, np.uint8)[end - 1]]
 
 
 def segment_bounds(length: np.ndarray, parts: int, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -82,7 +116,7 @@ def segment_rows(docs: DataFrame, settings: Settings, probe: bool) -> DataFrame:
                 _, once = np.unique(x.key, return_index=True)
                 start, length, line = x.start[once], (x.end - x.start)[once], x.key[once]
                 raw = np.frombuffer(x.data, np.uint8)
-                marks = parities(raw, start, start + length)
+                marks = parities(x.data, start, start + length)
                 sums = np.append(U64(0), np.cumsum((raw.astype(U64) + U64(1)) * powers(len(raw), FACTOR)))
                 back = powers(len(raw) + 1, INVERSE)
 
@@ -164,9 +198,10 @@ def near_lines(docs: DataFrame, firsts: DataFrame, settings: Settings) -> DataFr
     pairs = written(x.join(y, (x.key == y.key) & (x.a != y.b) & may).select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     named = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    places = firsts.join(named, "key").select("key", F.col("first.doc_id").alias("at_doc"), F.col("first.no").alias("no"))
-    texts = written(docs.join(places, F.col("doc_id") == F.col("at_doc")).select(
-        "key", F.get(F.split(F.col("text"), "\n", -1), "no").cast("binary").alias("line")))
+    places = firsts.join(named, "key").select("key", F.col("first.node").alias("at_node"), F.col("first.no").alias("no"))
+    texts = written(docs.join(places, F.col("node") == F.col("at_node")).select(
+        "key", F.get(F.split(F.col("text"), "\n", -1), "no").cast("binary").alias("line"))
+        .groupBy("key").agg(F.min("line").alias("line")))  # a row that is repeated has the line again
     left, right = (texts.select(F.col("key").alias(f"{s}_key"), F.col("line").alias(s)) for s in ("left", "right"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,13 +214,16 @@ def near_lines(docs: DataFrame, firsts: DataFrame, settings: Settings) -> DataFr
 
 
 def repeated_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """doc_id, no, first_doc, first_no: lines (from 0) that have a copy or near copy earlier, and where their class begins.
+    """node (id, text_key), no, first_node, first_no: lines (from 0) that have a copy or near copy earlier, and where their
+    class begins.
 
     Lines of ``least_bytes`` and more count; a class is what links of at most ``edits`` edits connect; earlier is a smaller
-    doc_id, or the same document and a smaller number. Lines are told apart by 64-bit hash, links are verified on the bytes. Rows without an id
-    or text take no part; rows that share an id count as one document. Only doc_id and text are read.
+    doc_id, then a smaller hash of the text, or the same text and a smaller number. Lines are told apart by 64-bit hash, links
+    are verified on the bytes. Rows without an id or text take no part; of rows that share an id each is judged by its own
+    text, and rows that repeat both count as one document. Only doc_id and text are read.
     """
-    rows = docs.select("doc_id", F.col("text")).filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    rows = docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull()) \
+        .select(node_of(F.col("doc_id"), F.col("text")).alias("node"), "text")
 
     def list_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,26 +232,27 @@ def repeated_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFram
                 x = Lines(texts[a:b], settings.least_bytes)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a).take(pa.array(x.text)), pa.array(x.no), pa.array(x.key.view(np.int64))],
-                    ["doc_id", "no", "key"])
+                    ["node", "no", "key"])
 
-    lines = written(rows.select("doc_id", F.col("text").cast("binary").alias("text"))
-                    .mapInArrow(list_lines, "doc_id bigint, no bigint, key bigint"))
-    firsts = written(lines.groupBy("key").agg(F.min(F.struct("doc_id", "no")).alias("first"), F.count(F.lit(1)).alias("n")))
-    classes = components(near_lines(rows, firsts, settings))
-    near = firsts.join(classes, F.col("key") == F.col("node"))
+    lines = written(rows.select("node", F.col("text").cast("binary").alias("text"))
+                    .mapInArrow(list_lines, f"node {NODE}, no bigint, key bigint"))
+    firsts = written(lines.groupBy("key").agg(F.min(F.struct("node", "no")).alias("first"), F.count(F.lit(1)).alias("n")))
+    classes = components(near_lines(rows, firsts, settings)).withColumnRenamed("node", "c_node")
+    near = firsts.join(classes, F.col("key") == F.col("c_node"))
     begins = near.groupBy("component").agg(F.min("first").alias("begin"))
-    of_line = firsts.join(classes, F.col("key") == F.col("node"), "left").filter((F.col("n") > 1) | F.col("component").isNotNull()) \
+    of_line = firsts.join(classes, F.col("key") == F.col("c_node"), "left").filter((F.col("n") > 1) | F.col("component").isNotNull()) \
         .join(begins, "component", "left").select(F.col("key").alias("c_key"), F.coalesce("begin", "first").alias("begin"))
     return lines.join(written(of_line), F.col("key") == F.col("c_key")) \
-        .filter((F.col("begin.doc_id") != F.col("doc_id")) | (F.col("begin.no") != F.col("no"))) \
-        .select("doc_id", "no", F.col("begin.doc_id").alias("first_doc"), F.col("begin.no").alias("first_no"))
+        .filter((F.col("begin.node") != F.col("node")) | (F.col("begin.no") != F.col("no"))) \
+        .select("node", "no", F.col("begin.node").alias("first_node"), F.col("begin.no").alias("first_no"))
 
 
 def without_repeats(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Rows of ``docs`` as a struct ``doc``, with removed (numbers of repeated lines, or null) and cleaned (the lines left)."""
-    gone = repeated_lines(docs, settings).groupBy(F.col("doc_id").alias("gone_id")).agg(F.collect_set("no").alias("removed"))
-    rows = docs.select(F.struct("*").alias("doc"))
-    joined = rows.join(gone, rows.doc.doc_id == gone.gone_id, "left")
+    # written, so that Spark knows its size and moves no text where it can be broadcast
+    gone = written(repeated_lines(docs, settings).groupBy("node").agg(F.collect_set("no").alias("removed")))
+    rows = docs.select(F.struct("*").alias("doc"), node_of(F.col("doc_id"), F.col("text")).alias("own"))
+    joined = rows.join(gone, F.col("own") == F.col("node"), "left").drop("own", "node")
     # the numbers are sorted out against all lines at once, so a text of many lines takes no quadratic search
     lines = F.split(F.col("doc.text"), "\n", -1)
     wanted = F.array_except(F.sequence(F.lit(0).cast("long"), F.size(lines).cast("long") - 1), F.col("removed"))
@@ -223,7 +262,10 @@ def without_repeats(docs: DataFrame, settings: Settings = Settings()) -> DataFra
 
 
 def dedup_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """``docs`` with repeated lines cut out of the texts; columns as they came. Documents of which nothing is left go."""
+    """``docs`` with repeated lines cut out of the texts; columns as they came. Documents of which nothing is left go.
+
+    Null and empty texts stay as they are; rows that repeat id and text are cut alike, and both stay.
+    """
     done = without_repeats(docs, settings)
     kept = done.filter(F.col("removed").isNull() | (F.length(F.trim("cleaned")) > 0))
     return kept.select(*[(F.col("cleaned") if c == "text" else F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
@@ -232,7 +274,8 @@ def dedup_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 def op7_line_dedup(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     done = without_repeats(docs)
+    text = F.coalesce("doc.text", F.lit(""))
     return done.select(
-        "doc.doc_id", F.size(F.split(F.coalesce("doc.text", F.lit("")), "\n", -1)).cast("long").alias("n_lines"),
+        "doc.doc_id", (F.length(text) - F.length(F.translate(text, "\n", "")) + 1).cast("long").alias("n_lines"),
         F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
         F.sha2(F.coalesce("cleaned", F.lit("")), 256).alias("kept_sha256"))

@@ -81,16 +81,24 @@ def mix(docs: DataFrame, weights: list[float], share: float = 1.5, most: float =
 def mixed_documents(docs: DataFrame, weights: list[float], share: float = 1.5, most: float = 2.0) -> DataFrame:
     """``docs`` that the mix takes, with size, source_size, target and taken.
 
-    Documents that take nothing go. Columns of ``docs`` that have one of the four names give way to them. An id that several
-    rows share takes the sum of its rows once per row, so ids should be keys.
+    Documents that take nothing go. A column of ``docs`` that has one of the four names raises. Rows that share id, source and
+    size each take what one of them is due, so that a source's sum is its target here too. Rows are numbered by a hash of
+    their text; rows alike in that as well are exchangeable.
     """
-    taken = mix(docs, weights, share, most).groupBy(
-        F.col("doc_id").alias("m_id"), F.col("source").alias("m_source"), "size", "source_size", "target") \
-        .agg(F.max("taken").alias("taken"))
-    own = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken")]
-    rows = docs.select(F.struct(*own).alias("doc"), F.size(space_words(F.col("text"))).cast("long").alias("words"))
-    same = rows.doc.doc_id.eqNullSafe(taken.m_id) & rows.doc.source.eqNullSafe(taken.m_source) & (rows.words == taken.size)
-    return rows.join(taken, same).filter(F.col("taken") > 0).select("doc.*", "size", "source_size", "target", "taken")
+    added = ["size", "source_size", "target", "taken"]
+    clash = sorted(set(added) & set(docs.columns))
+    if clash:
+        raise ValueError(f"columns that the mix adds are there already: {clash}")
+    alike = Window.partitionBy("doc_id", "source", "size")
+    taken = mix(docs, weights, share, most).withColumn("copy", F.row_number().over(alike.orderBy("taken")))
+    taken = written(taken.filter(F.col("taken") > 0).select(
+        F.col("doc_id").alias("m_id"), F.col("source").alias("m_source"), "size", "source_size", "target", "taken", "copy"))
+    words = F.size(space_words(F.col("text"))).cast("long")
+    numbered = docs.select(F.struct("*").alias("doc"), "doc_id", "source", words.alias("words"), F.xxhash64("text").alias("text_key")) \
+        .withColumn("place", F.row_number().over(Window.partitionBy("doc_id", "source", "words").orderBy("text_key")))
+    same = F.col("doc_id").eqNullSafe(F.col("m_id")) & F.col("source").eqNullSafe(F.col("m_source")) \
+        & (F.col("words") == F.col("size")) & (F.col("place") == F.col("copy"))
+    return numbered.join(taken, same).select("doc.*", *added)
 
 
 def op4_mixing(spark, sf_dir: str) -> DataFrame:

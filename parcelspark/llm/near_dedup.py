@@ -5,10 +5,11 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelspark.llm.graph import components
@@ -26,6 +27,14 @@ class Settings:
     weights: str = "set"  # or "count": a shingle weighs as often as it occurs
 
 
+#: A text of a row: two rows may share an id, but not its text. Ordered by id first.
+NODE = "struct<id: bigint, text_key: bigint>"
+
+
+def node_of(doc_id: Column, text: Column) -> Column:
+    return F.struct(doc_id.cast("bigint").alias("id"), F.xxhash64(text).alias("text_key"))
+
+
 class Shingles:
     """The distinct shingles of several texts: text (its number), hash, weight. A text of fewer words is one shingle."""
 
@@ -100,7 +109,8 @@ def dart_signatures(s: Shingles, n_texts: int, k: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
-    """doc_id, n_shingles, set1 and set2 (128 bits of the shingle set), sketch (a byte a coordinate), bands (hashes)."""
+    """node, n_shingles, set1 and set2 (128 bits of the shingle set), sketch (a byte a coordinate), planes (four bits a
+    coordinate, one plane of longs for each), bands (hashes)."""
     k = settings.bands * settings.rows
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,12 +131,35 @@ def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
                 lists = pa.ListArray.from_arrays(np.cumsum(np.append(0, np.where(size > 0, settings.bands, 0))).astype(np.int32),
                                                  pa.array(band[size > 0].reshape(-1).view(np.int64)))
                 sketch = [x.tobytes() for x in (signed >> U64(56)).astype(np.uint8)]
+                longs = -(-k // 64)
+                bits = np.zeros((n, PLANES, longs * 64), np.uint8)
+                for plane in range(PLANES):
+                    bits[:, plane, :k] = (signed >> U64(56 + plane)) & U64(1)
+                planes = np.packbits(bits, axis=2).reshape(n, -1).view(np.int64)
+                plane_lists = pa.ListArray.from_arrays(np.arange(0, planes.size + 1, PLANES * longs, dtype=np.int32),
+                                                       pa.array(planes.reshape(-1)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, n), pa.array(size), *sums, pa.array(sketch, pa.binary()), lists],
-                    ["doc_id", "n_shingles", "set1", "set2", "sketch", "bands"])
+                    [batch.column(0).slice(a, n), pa.array(size), *sums, pa.array(sketch, pa.binary()), plane_lists, lists],
+                    ["node", "n_shingles", "set1", "set2", "sketch", "planes", "bands"])
+
+    return docs.select(node_of(F.col("doc_id"), F.col("text")).alias("node"), F.col("text").cast("binary").alias("text")).mapInArrow(
+        sign, f"node {NODE}, n_shingles bigint, set1 bigint, set2 bigint, sketch binary, planes array<bigint>, bands array<bigint>")
 
-    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(
-        sign, "doc_id bigint, n_shingles bigint, set1 bigint, set2 bigint, sketch binary, bands array<bigint>")
+
+#: Bits of a coordinate that are compared inside a join.
+PLANES = 4
+
+
+def may_be_near(settings: Settings) -> Column:
+    """Whether ``planes`` and ``x_planes`` differ in no more coordinates than ``estimate`` leaves open: never stricter than it."""
+    k = settings.bands * settings.rows
+    longs = -(-k // 64)
+    differ = F.lit(0)
+    for word in range(longs):
+        unlike = reduce(Column.bitwiseOR, [F.col("planes")[p * longs + word].bitwiseXOR(F.col("x_planes")[p * longs + word])
+                                           for p in range(PLANES)])
+        differ = differ + F.bit_count(unlike)
+    return differ <= math.floor((1 - settings.estimate) * k + 1e-9)
 
 
 def grams_of_rows(signed: np.ndarray, settings: Settings) -> np.ndarray:
@@ -139,7 +172,11 @@ def grams_of_rows(signed: np.ndarray, settings: Settings) -> np.ndarray:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, sketches: DataFrame, settings: Settings) -> DataFrame:
-    """The pairs (a, b) with similarity ``least`` and more, by their whole shingle sets."""
+    """The pairs (a, b) of nodes with similarity ``least`` and more, by their whole shingle sets.
+
+    ``sketches`` has node and sketch, ``texts`` node and text, each node once; or it is the documents, of which the texts in
+    likely pairs are picked.
+    """
     k = settings.bands * settings.rows
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,28 +202,38 @@ def verified(pairs: DataFrame, texts: DataFrame, sketches: DataFrame, settings:
             yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(near)) for i in (0, 1)], ["a", "b"])
 
     def with_both(table: DataFrame, found: DataFrame, column: str) -> DataFrame:
-        a, b = (table.select(F.col("doc_id").alias(f"{x}_id"), F.col(column).alias(x)) for x in ("left", "right"))
-        return found.join(a, F.col("a") == F.col("left_id")).join(b, F.col("b") == F.col("right_id")).select("a", "b", "left", "right")
+        a, b = (table.select(F.col("node").alias(f"{x}_node"), F.col(column).alias(x)) for x in ("left", "right"))
+        return found.join(a, F.col("a") == F.col("left_node")).join(b, F.col("b") == F.col("right_node")) \
+            .select("a", "b", "left", "right")
+
+    likely = written(with_both(sketches, pairs, "sketch").mapInArrow(close, f"a {NODE}, b {NODE}"))
+    if "node" not in texts.columns:
+        named = written(likely.select("a").union(likely.select("b")).toDF("node").distinct())
+        texts = written(texts_of_nodes(texts, named))
+    return written(with_both(texts, likely, "text").mapInArrow(exact, f"a {NODE}, b {NODE}"))
+
 
-    likely = written(with_both(sketches, pairs, "sketch").mapInArrow(close, "a bigint, b bigint"))
-    named = likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    needed = texts.select("doc_id", F.col("text").cast("binary").alias("text")).join(named, "doc_id")
-    return written(with_both(needed, likely, "text").mapInArrow(exact, "a bigint, b bigint"))
+def texts_of_nodes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The columns of ``nodes`` and text (binary), each node once however many rows repeat it."""
+    rows = docs.select(node_of(F.col("doc_id"), F.col("text")).alias("t_node"), F.col("text").cast("binary").alias("text"))
+    found = rows.join(nodes, F.col("t_node") == F.col("node")).drop("t_node")
+    order = Window.partitionBy("node").orderBy("node")
+    return found.withColumn("copy", F.row_number().over(order)).filter("copy = 1").drop("copy")
 
 
 #: Slots in which shingles are counted to order them: one number each goes through the driver, whatever the input.
 SLOTS = 1 << 17
 
 
-def rare_pairs(nodes: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs (a, b) of ``nodes`` (node, part) of different parts that may have similarity ``least`` and more.
+def rare_pairs(own: DataFrame, planes: DataFrame, settings: Settings) -> DataFrame:
+    """Pairs (a, b) of ``own`` (node, part, text) of different parts that may have similarity ``least`` and more.
 
     All texts order their shingles alike, rarely counted slots first. The shingles that two such texts share cannot all stand
-    behind the first fifth of either (for 0.8), so they meet in a shingle of both first fifths. The order only decides how
-    many pairs meet, not which may be missed. Shingles of one part only are dropped before the join.
+    behind the first fifth of either (for 0.8), so they meet in a shingle of both first fifths. At the first shingle that two
+    texts share, they can share no more than what stands from there on in either; pairs for which that is too little give no
+    row. The order only decides how many pairs meet, not which may be missed. Shingles of one part only are dropped before
+    the join, and the signatures (``planes`` by node) are part of it.
     """
-    own = written(texts.select("doc_id", F.col("text").cast("binary").alias("text"))
-                  .join(nodes, F.col("doc_id") == F.col("node")).select("node", "part", "text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SLOTS, np.int64)
@@ -215,37 +262,45 @@ def rare_pairs(nodes: DataFrame, texts: DataFrame, settings: Settings) -> DataFr
                 at = pa.array(a + text[first])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(s.hash[order][first].view(np.int64)), batch.column(0).take(at), batch.column(1).take(at),
-                     pa.array(total[text[first]])], ["gram", "node", "part", "total"])
+                     pa.array(total[text[first]]), pa.array(left[first])], ["gram", "node", "part", "total", "left"])
 
-    rows = written(own.mapInArrow(rare, "gram bigint, node bigint, part bigint, total double"))
+    rows = written(own.mapInArrow(rare, f"gram bigint, node {NODE}, part {NODE}, total double, left double"))
     several = rows.groupBy("gram").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high").select("gram")
-    met = written(rows.join(several, "gram", "left_semi"))
-    other = met.select("gram", *[F.col(c).alias(f"x_{c}") for c in ("node", "part", "total")])
-    alike = F.least("total", "x_total") >= settings.least * F.greatest("total", "x_total") - 1e-6
-    return met.join(other, "gram").filter((F.col("node") < F.col("x_node")) & (F.col("part") != F.col("x_part")) & alike) \
+    signed = planes.select(F.col("node").alias("p_node"), "planes")
+    met = written(rows.join(several, "gram", "left_semi").join(signed, F.col("node") == F.col("p_node")).drop("p_node"))
+    other = met.select("gram", *[F.col(c).alias(f"x_{c}") for c in ("node", "part", "total", "left", "planes")])
+    # shared / (total + x_total - shared) >= least
+    alike = (1 + settings.least) * F.least("left", "x_left") >= settings.least * (F.col("total") + F.col("x_total")) - 1e-6
+    return met.join(other, "gram").filter((F.col("node") < F.col("x_node")) & (F.col("part") != F.col("x_part")) & alike & may_be_near(settings)) \
         .select(F.col("node").alias("a"), F.col("x_node").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """One row per row of ``docs``: doc_id, class_id (smallest id of its class), n_shingles, kept (the row that stays).
+    """One row per row of ``docs``: doc_id, class_id (smallest id of its class), n_shingles, kept (whether its text stays).
 
     A class holds what links of similarity ``least`` and more connect; shingles are runs of five words between white space, and
-    a shorter text is one shingle. Texts with the same shingles are one node, its smallest id. In a bucket of a band, all
+    a shorter text is one shingle. Texts with the same shingles are one node, that of the smallest id. In a bucket of a band, all
     nodes are held against one of them, so a group of near copies costs one comparison a member and band. Nodes of buckets that
     are still in several components meet by their rarest shingles, so no link in a bucket is lost.
-    Texts without words and rows without an id are classes of their own and stay. Rows that share an id share a class. Only
-    doc_id and text are read.
+    Texts without words and rows without an id are classes of their own and stay. Rows that share an id are judged each by
+    its own text; rows that repeat id and text are kept or not alike. Only doc_id and text are read.
     """
+    return _judged(docs, settings).select("node.id", "class_node.id", "n_shingles", "kept").toDF(
+        "doc_id", "class_id", "n_shingles", "kept")
+
+
+def _judged(docs: DataFrame, settings: Settings) -> DataFrame:
+    """One row per row of ``docs``: node, class_node (smallest node of its class), n_shingles, kept."""
     signed = written(signatures(docs, settings))
-    node = signed.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    kinds = written(node.groupBy("n_shingles", "set1", "set2").agg(F.min("doc_id").alias("node")))
-    first = node.join(kinds, ["n_shingles", "set1", "set2"]).filter(F.col("doc_id") == F.col("node")) \
-        .select("doc_id", "sketch", "bands")
-    rows = first.select(F.col("doc_id").alias("node"), F.explode("bands").alias("bucket"))
+    marked = signed.filter(F.col("node.id").isNotNull() & (F.col("n_shingles") > 0))
+    kinds = written(marked.groupBy("n_shingles", "set1", "set2").agg(
+        F.min("node").alias("node"), F.min_by(F.struct("sketch", "planes", "bands"), "node").alias("first"))
+        .select("n_shingles", "set1", "set2", "node", "first.sketch", "first.planes", "first.bands"))
+    rows = kinds.select("node", F.explode("bands").alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct(
         F.xxhash64("node", "bucket").alias("turn"), "node")).node.alias("pivot")).filter(F.col("size") > 1)
     members = written(rows.join(shared, "bucket"))
-    sketches = node.select("doc_id", "sketch")
+    sketches = kinds.select("node", "sketch")
 
     def ordered(table: DataFrame, x: str, y: str) -> DataFrame:
         return table.filter(F.col(x) != F.col(y)).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
@@ -259,21 +314,32 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     parts = placed.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("n"))
     open_buckets = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_parts")).filter(F.col("n_parts") > 1)
     unsure = written(placed.join(open_buckets, "bucket", "left_semi").select("node", "part").distinct())
-    texts = written(docs.select("doc_id", "text").join(unsure, F.col("doc_id") == F.col("node"), "left_semi"))
-    more = verified(written(rare_pairs(unsure, texts, settings)), texts, sketches, settings)
+    own = written(texts_of_nodes(docs, unsure).select("node", "part", "text"))
+    more = verified(written(rare_pairs(own, kinds.select("node", "planes"), settings)), own.select("node", "text"), sketches, settings)
     classes = components(links.union(more)).withColumnRenamed("node", "c_node")
     of_kind = kinds.join(classes, F.col("node") == F.col("c_node"), "left") \
-        .select("n_shingles", "set1", "set2", F.coalesce("component", "node").alias("class_id"))
-    labelled = signed.join(of_kind, ["n_shingles", "set1", "set2"], "left")
-    own = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("class_id")).otherwise(F.col("doc_id"))
-    return labelled.select("doc_id", own.alias("class_id"), "n_shingles", F.coalesce(own == F.col("doc_id"), F.lit(True)).alias("kept"))
+        .select("n_shingles", "set1", "set2", F.coalesce("component", "node").alias("class_node"))
+    labelled = signed.select("node", "n_shingles", "set1", "set2").join(of_kind, ["n_shingles", "set1", "set2"], "left")
+    own = F.when((F.col("n_shingles") > 0) & F.col("node.id").isNotNull(), F.col("class_node")).otherwise(F.col("node"))
+    return labelled.select("node", own.alias("class_node"), "n_shingles", (own == F.col("node")).alias("kept"))
 
 
 def drop_near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The rows of ``docs`` that stay: one of each class, and rows without an id."""
-    gone = near_duplicates(docs, settings).filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id"))
-    rows = docs.select(F.struct("*").alias("doc"))
-    return rows.join(gone, rows.doc.doc_id == gone.gone_id, "left_anti").select("doc.*")
+    """The rows of ``docs`` that stay: one of each class, texts without words, and rows without an id.
+
+    Of rows that repeat id and text one stays, the first by a hash of all columns. Empty tables give none.
+    """
+    judged = written(_judged(docs, settings).filter((F.col("n_shingles") > 0) & F.col("node.id").isNotNull()))
+    gone = judged.filter(~F.col("kept")).select("node").distinct()
+    again = judged.filter("kept").groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("node")
+    # both small tables are written, so that Spark broadcasts them by their size and moves no text for them
+    marks = written(gone.withColumn("again", F.lit(False)).union(again.withColumn("again", F.lit(True))))
+    rows = docs.select(F.struct("*").alias("doc"), node_of(F.col("doc_id"), F.col("text")).alias("own"))
+    stay = rows.join(marks, F.col("own") == F.col("node"), "left_anti").select("doc")
+    order = Window.partitionBy("own").orderBy(F.xxhash64("doc"))
+    several = rows.join(marks.filter("again"), F.col("own") == F.col("node"), "left_semi") \
+        .withColumn("copy", F.row_number().over(order)).filter("copy = 1").select("doc")
+    return stay.union(several).select("doc.*")
 
 
 def op9_near_dedup(spark, sf_dir: str) -> DataFrame:
