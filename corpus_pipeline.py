@@ -43,7 +43,7 @@ STAGES = [
     ("mixing", mix_sources),
 ]
 
-#: A learnt model and an edit join have no SQL; the stages are tested against brute force.
+#: A learnt model and an edit join have no SQL. The operators have tests of their own, the chain one of columns and ids.
 ORACLE_SQL = None
 
 
