@@ -44,10 +44,21 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def window_hashes(words: Column, size: int) -> Column:
-    """A 64-bit hash of each ``size`` consecutive words, by start; empty where there are fewer words."""
-    starts = F.sequence(F.lit(1), F.size(words) - size + 1)
-    hashed = F.transform(starts, lambda i: F.xxhash64(F.slice(words, i, size)))
-    return F.when(F.size(words) >= size, hashed).otherwise(F.array().cast("array<bigint>"))
+    """A 64-bit hash of each ``size`` consecutive words, by start; empty where there are fewer words.
+
+    Words are hashed once; hashes of twice as many words come from pairs, the last step may overlap.
+    """
+    hashes, have = F.transform(words, lambda w: F.xxhash64(w)), 1
+    while have < size:
+        step = min(have, size - have)
+        hashes, have = _paired(hashes, step), have + step
+    return F.when(F.size(words) >= size, F.slice(hashes, 1, F.greatest(F.size(words) - size + 1, F.lit(0)))) \
+        .otherwise(F.array().cast("array<bigint>"))
+
+
+def _paired(hashes: Column, step: int) -> Column:
+    """A hash of each value and the one ``step`` places on."""
+    return let(hashes, lambda v: F.transform(v, lambda h, i: F.xxhash64(h, F.get(v, i + step))))
 
 
 def covered(spans: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelspark.llm.columns import covered, plain_words
+from parcelspark.llm.columns import covered, let, plain_words, window_hashes
 
 #: A window table of at most so many rows is broadcast; a larger one is joined by shuffle.
 BROADCAST_ROWS = 500_000
@@ -20,7 +20,12 @@ def item_windows(benchmark: DataFrame, size: int = 10) -> DataFrame:
     starts = F.sequence(F.lit(1), F.greatest(F.size("words") - size + 1, F.lit(1)))
     cut = words.select("item_id", F.explode(F.transform(starts, lambda i: F.slice("words", i, size))).alias("window"))
     return cut.groupBy("window").agg(F.array_sort(F.collect_set("item_id")).alias("items")).select(
-        F.xxhash64("window").alias("key"), F.size("window").alias("n"), "window", "items")
+        _key(F.col("window"), size).alias("key"), F.size("window").alias("n"), "window", "items")
+
+
+def _key(window: Column, size: int) -> Column:
+    """The hash that ``window_hashes`` gives a window of at most ``size`` words."""
+    return F.coalesce(*[F.when(F.size(window) == n, F.get(window_hashes(window, n), F.lit(0))) for n in range(1, size + 1)])
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, size: int = 10, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -38,10 +43,8 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, size: int = 10, broadcast_r
     none = F.struct(F.lit(-1).alias("start"), F.lit(0).alias("n"), F.lit(None).cast("long").alias("key"))
 
     def of_length(n: int) -> Column:
-        starts = F.sequence(F.lit(0), F.size("words") - n)
-        places = F.transform(starts, lambda i: F.struct(
-            i.alias("start"), F.lit(n).alias("n"), F.xxhash64(F.slice("words", i + 1, n)).alias("key")))
-        return F.when(F.size("words") >= n, places).otherwise(F.array().cast("array<struct<start:int,n:int,key:bigint>>"))
+        return F.transform(window_hashes(F.col("words"), n), lambda h, i: F.struct(
+            i.alias("start"), F.lit(n).alias("n"), h.alias("key")))
 
     def places(arrays: list[Column]) -> DataFrame:
         return words.select("doc_id", "text_key", "words", F.explode(F.concat(*arrays)).alias("p")) \
@@ -65,10 +68,12 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, size: int = 10, broadcast_r
             .select("doc_id", "text_key", "start", "n", F.lit(None).cast("int").alias("n_words"), "items") \
             .unionByName(words.select("doc_id", "text_key", F.lit(-1).alias("start"), F.lit(0).alias("n"),
                                       F.size("words").alias("n_words"), F.lit(None).alias("items")))
-    span = F.when(F.col("start") >= 0, F.struct("start", F.col("n").alias("length")))
+    # a span as one number in the order of (start, length), so that a set of them needs no comparison by pairs
+    span = F.when(F.col("start") >= 0, F.col("start").cast("long") * (size + 1) + F.col("n"))
     return hits.groupBy("doc_id", "text_key").agg(
         F.max("n_words").cast("long").alias("n_words"),
-        F.array_sort(F.array_distinct(F.collect_list(span))).alias("spans"),
+        F.transform(F.array_sort(F.collect_set(span)), lambda x: F.struct(
+            F.floor(x / (size + 1)).cast("int").alias("start"), (x % (size + 1)).cast("int").alias("length"))).alias("spans"),
         F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
 
 
@@ -88,7 +93,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "documents"
         raise ValueError(f"mode {mode!r}")
     text = F.col("doc.text")
     pieces = F.regexp_extract_all(text, F.lit(r"([^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*)"), 1)
-    left = F.filter(pieces, lambda p, i: ~F.exists("hit_spans", lambda s: (s.start <= i) & (i < s.start + s.length)))
+    hit = F.flatten(F.transform("hit_spans", lambda s: F.sequence(s.start, s.start + s.length - 1)))
+    left = let(pieces, lambda p: F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(p) - 1), hit), lambda i: F.get(p, i)))
     cut = F.concat(F.regexp_extract(text, r"^([\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*)", 1), F.array_join(left, ""))
     joined = rows.join(found, same, "left")
     return joined.select(*[

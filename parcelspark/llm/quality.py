@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,20 +29,25 @@ class Rules:
 
 def line_fails(line: Column, again: Column, rules: Rules) -> Column:
     """Whether a line breaks a rule. ``again``: the text has the same line before."""
-    words = space_words(line)
-    chars = F.length(squeezed(line))
     symbols = F.length(line) - F.length(F.translate(line, SYMBOLS, ""))
     bars = F.length(line) - F.length(F.replace(line, F.lit("|"), F.lit("")))
-    long = F.size(words) >= rules.least_words
-    small = F.lower(line)
+
+    def of_words(words: Column, n: Column) -> Column:
+        long = n >= rules.least_words
+        return (long & (line == F.upper(line)) & (line != F.lower(line))  # shouting
+                | long & ~line.rlike(r"[.!?…:;\"'”»)\]。]( |$)")  # no end of a sentence or clause
+                | (n >= 10) & (F.size(F.array_distinct(words)) < rules.one_word_share * n))
+
+    def notices(small: Column) -> Column:
+        return reduce(Column.__or__, [F.contains(small, F.lit(x)) for x in BOILERPLATE])
+
+    # expressions inside a lambda are worked out wherever they stand, so words and small letters are bound once a line
     return (
         again
         | (bars >= rules.menu_bars)  # navigation
-        | (symbols > rules.symbol_share * chars)
-        | (long & (line == F.upper(line)) & (line != small))  # shouting
-        | (long & ~line.rlike(r"[.!?…:;\"'”»)\]。]( |$)"))  # no end of a sentence or clause
-        | ((F.size(words) >= 10) & (F.size(F.array_distinct(words)) < rules.one_word_share * F.size(words)))
-        | small.rlike("|".join(BOILERPLATE))
+        | (symbols > 0) & (symbols > rules.symbol_share * F.length(squeezed(line)))
+        | let(space_words(line), lambda words: let(F.size(words), lambda n: of_words(words, n)))
+        | let(F.lower(line), notices)
     )
 
 
