@@ -6,9 +6,11 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,32 +18,51 @@ from parcelspark.llm.columns import remainder_of_id
 from parcelspark.llm.texts import PLAIN, texts_of
 from parcelspark.sources.tables import written
 
-#: Bytes of a word's stem.
-STEM = 4
-SCORED = "doc_id bigint, best double, n_significant bigint, passages array<struct<start:bigint,end:bigint,score:double>>"
+#: Letters of a word's stems, for words that are longer.
+STEMS = range(3, 9)
+#: Words whose scores a task keeps at hand; a fuller table starts anew.
+KEPT_WORDS = 1_000_000
+SCORED = "doc_id bigint, best double, total double, n_words bigint, passages array<struct<start:bigint,end:bigint,score:double>>"
 
 
 @dataclass(frozen=True)
 class Settings:
     sample_rows: int = 50_000  # labelled texts to learn from, at most
-    prior: float = 10.0  # words that the Dirichlet prior counts for, in each class, per 1,000 words
+    prior: float = 10.0  # texts with a token that the Dirichlet prior counts for, in each class, per 1,000 of them
     least_z: float = 4.0  # log-odds below so many standard errors count as the drift
     least_docs: int = 5  # labelled texts with the word
     most_odds: float = 6.0
     drift: float = -0.25  # of every other word
     significant: float = 3.0  # normalised score (natural log) of a passage, beyond what a text of its length holds by chance
+    folds: int = 3  # of the sample; texts are measured for the calibration with words of the other folds
+
+
+@dataclass(frozen=True)
+class Law:
+    """Best segments of clean texts of n words: P(best > s) = 1 - exp(-k * n * exp(-decay * s))."""
+
+    decay: float = 1.0
+    k: float = 1.0
+
+    def chance(self, n):
+        """The normalised score that a clean text of n words reaches by chance."""
+        return np.log1p(self.k * n)
 
 
 @dataclass(frozen=True)
 class Model:
     odds: dict[bytes, float]  # of words, and of stems after a ^
-    decay: float  # lambda of the extreme-value law of the best segment
-    weights: tuple[float, float, float]  # of 1, the best normalised score and log(1 + significant passages)
+    law: Law
+    weights: tuple[float, ...]  # of the columns of ``_calibrating``
     settings: Settings
 
-    def score(self, best: np.ndarray, n: np.ndarray) -> np.ndarray:
-        a, b, c = self.weights
-        return 1 / (1 + np.exp(-np.clip(a + b * best + c * np.log1p(n), -30, 30)))
+    def score(self, best: np.ndarray, total: np.ndarray, n_words: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(_calibrating(best, total, n_words, self.law) @ np.array(self.weights), -30, 30)))
+
+
+def _calibrating(best: np.ndarray, total: np.ndarray, n_words: np.ndarray, law: Law) -> np.ndarray:
+    """One, the best segment's score beyond chance, the log of all segments' score, and the log of the length."""
+    return np.stack([np.ones(len(best)), law.decay * best - law.chance(n_words), np.log1p(law.decay * total), np.log1p(n_words)], 1)
 
 
 def segments(hits: list[tuple[int, float]], drift: float) -> list[tuple[int, int, float]]:
@@ -72,40 +93,58 @@ def segments(hits: list[tuple[int, float]], drift: float) -> list[tuple[int, int
     return [(s, e, after - before) for s, e, before, after in stack]
 
 
-def features(words: list[bytes]) -> list[bytes]:
-    """Words and, of longer ones, the stems: abuse takes many endings."""
-    return words + [b"^" + w[:STEM] for w in words if len(w) > STEM]
+def stems(word: bytes) -> list[bytes]:
+    """The first letters of a longer word, after a ^: abuse takes many endings."""
+    letters = word.decode("utf-8", "replace")
+    return [b"^" + letters[:k].encode() for k in STEMS if len(letters) > k]
 
 
-def _measures(text: bytes, odds: dict, stems: dict, decay: float, settings: Settings) -> tuple[float, int, list]:
+class WordScores(dict):
+    """Scores of words as they come: a word's own log-odds, else those of its longest stem that has some, else 0."""
+
+    def __init__(self, odds: dict[bytes, float]):
+        super().__init__()
+        self.odds = odds
+
+    def __missing__(self, word: bytes) -> float:
+        score = self.odds.get(word)
+        if score is None:
+            score = next((self.odds[x] for x in reversed(stems(word)) if x in self.odds), 0.0)
+        if len(self) >= KEPT_WORDS:
+            self.clear()
+        self[word] = score
+        return score
+
+
+def _measures(text: bytes, scores: WordScores, law: Law, settings: Settings) -> tuple[float, float, int, list]:
+    """Score of the best segment and of all, number of words, and the significant passages."""
     words = text.translate(PLAIN).split()
-    hits = [(i, odds.get(w) or stems[w[:STEM]]) for i, w in enumerate(words) if w in odds or w[:STEM] in stems and len(w) > STEM]
+    hits = [(i, v) for i, v in enumerate(map(scores.__getitem__, words)) if v]
     if not hits:
-        return 0.0, 0, []
-    chance = math.log(len(words) + 1) / 2
-    scored = [(s, e, decay * v) for s, e, v in segments(hits, settings.drift)]
-    best = max(x[2] for x in scored) - chance
-    passages = [{"start": s, "end": e, "score": v} for s, e, v in scored if v - chance >= settings.significant]
-    return best, len(passages), passages
+        return 0.0, 0.0, len(words), []
+    found = segments(hits, settings.drift)
+    chance = float(law.chance(len(words)))
+    passages = [{"start": s, "end": e, "score": law.decay * v} for s, e, v in found if law.decay * v - chance >= settings.significant]
+    return max(v for _, _, v in found), sum(v for _, _, v in found), len(words), passages
 
 
-def measure(docs: DataFrame, odds: dict[bytes, float], decay: float, settings: Settings) -> DataFrame:
-    """One row per row of ``docs``: doc_id, best, n_significant, passages."""
+def measure(docs: DataFrame, odds: dict[bytes, float], law: Law, settings: Settings) -> DataFrame:
+    """One row per row of ``docs``: doc_id, best, total, n_words, passages."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         passage = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
-        stems = {w[1:]: s for w, s in odds.items() if w.startswith(b"^")}
+        scores = WordScores(odds)
         for batch in batches:
-            rows = [_measures(t, odds, stems, decay, settings) for t in texts_of(batch.column(1))]
-            best, n, passages = zip(*rows) if rows else ((), (), ())
+            rows = [_measures(t, scores, law, settings) for t in texts_of(batch.column(1))]
+            best, total, n, passages = zip(*rows) if rows else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(best, pa.float64()), pa.array(n, pa.int64()), pa.array(passages, passage)],
-                ["doc_id", "best", "n_significant", "passages"])
+                [batch.column(0), pa.array(best, pa.float64()), pa.array(total, pa.float64()), pa.array(n, pa.int64()),
+                 pa.array(passages, passage)], ["doc_id", "best", "total", "n_words", "passages"])
 
     return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(scan, SCORED)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, settings: Settings, folds: int = 5) -> DataFrame:
-    """doc_id, text and toxic of labelled rows outside the held-out fold, each text once.
+    """doc_id, text, toxic and fold of labelled rows outside the held-out fold, each text once.
 
     At most ``sample_rows`` ids, those of the smallest hashes; several labels of an id give the largest. The ids are the side
     that may be broadcast: their number is bounded.
@@ -115,85 +154,99 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, settings: Settings, fold
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(settings.sample_rows)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(ids), "doc_id")
     return rows.groupBy(F.xxhash64("text").alias("key")).agg(
-        F.min_by("text", "doc_id").alias("text"), F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic")).drop("key")
+        F.min_by("text", "doc_id").alias("text"), F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic")) \
+        .select("doc_id", "text", "toxic", F.pmod("key", F.lit(settings.folds)).cast("int").alias("fold"))
+
 
+def token_counts(sample: DataFrame, settings: Settings) -> DataFrame:
+    """word (or stem) and, for each label and fold, t<label>_<fold>: the texts with it; summed in each batch before the shuffle.
 
-def word_counts(sample: DataFrame) -> DataFrame:
-    """word, toxic, n, n_docs over the sample; summed in each batch before the shuffle."""
+    Texts count, not places: a text that repeats one word over and over says no more about it than one that has it once.
+    """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            toxic = batch.column(1).to_pylist()
-            texts = texts_of(batch.column(0))
-            for label in (0, 1):
-                n, docs = Counter(), Counter()
-                for text in (t for t, y in zip(texts, toxic) if y == label):
-                    words = features(text.translate(PLAIN).split())
-                    n.update(words)
-                    docs.update(set(words))
-                words = list(n)
+            groups: dict[tuple[int, int], Counter] = {}
+            for text, toxic, fold in zip(texts_of(batch.column(0)), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                words = set(text.translate(PLAIN).split())
+                groups.setdefault((toxic, fold), Counter()).update(words.union(*map(stems, words)))
+            for (toxic, fold), n in groups.items():
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(words, pa.binary()), pa.array([label] * len(words), pa.int32()),
-                     pa.array(n.values(), pa.int64()), pa.array([docs[w] for w in words], pa.int64())],
-                    ["word", "toxic", "n", "n_docs"])
+                    [pa.array(list(n), pa.binary()), pa.array([toxic] * len(n), pa.int32()), pa.array([fold] * len(n), pa.int32()),
+                     pa.array(n.values(), pa.int64())], ["word", "toxic", "fold", "n"])
 
-    counted = sample.select(F.col("text").cast("binary").alias("text"), F.col("toxic").cast("int").alias("toxic"))
-    return counted.mapInArrow(count, "word binary, toxic int, n bigint, n_docs bigint")
+    counted = sample.select(F.col("text").cast("binary").alias("text"), F.col("toxic").cast("int").alias("toxic"), "fold")
+    return counted.mapInArrow(count, "word binary, toxic int, fold int, n bigint").groupBy("word").agg(*[
+        F.sum(F.when((F.col("toxic") == y) & (F.col("fold") == f), F.col("n")).otherwise(0)).alias(f"t{y}_{f}")
+        for y in (0, 1) for f in range(settings.folds)])
 
 
-def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
-    """Learn word log-odds, the extreme-value law and the calibration from the bounded sample of labelled rows.
+def word_odds(counts: DataFrame, folds: list[int], settings: Settings) -> dict[bytes, float]:
+    """Log-odds of the words and stems that tell toxic texts of the folds from clean ones; nothing without texts of both.
 
-    Without labels of both classes nothing is learnt and every score is that of the share of toxic rows, or 0.
+    A token needs least_docs texts, so the table is bounded by the sample's words, and small by the test.
     """
-    sample = written(labelled_sample(docs, labels, settings))
-    by_word = word_counts(sample).groupBy("word").agg(
-        *[F.sum(F.when(F.col("toxic") == y, F.col("n")).otherwise(0)).alias(f"n{y}") for y in (0, 1)],
-        F.sum("n_docs").alias("n_docs"))
-    by_word = written(by_word)
-    n0, n1 = by_word.agg(F.sum("n0"), F.sum("n1")).first()
-    size = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    texts = counts.select("word", *[sum(F.col(f"t{y}_{f}") for f in folds).alias(f"n{y}") for y in (0, 1)])
+    n0, n1 = texts.agg(F.sum("n0"), F.sum("n1")).first()
     if not n0 or not n1:
-        share = size.get(1, 0) / max(1, sum(size.values()))
-        return Model({}, 1.0, (math.log((share + 1e-6) / (1 - share + 1e-6)), 0.0, 0.0), settings)
-    # log-odds under a Dirichlet prior in proportion to the words' counts, and their standard error
+        return {}
+    # log-odds under a Dirichlet prior in proportion to the tokens' counts, and their standard error
     weight = settings.prior * (n0 + n1) / 1000
     prior = F.lit(weight) * (F.col("n0") + F.col("n1")) / (n0 + n1)
     odds = F.log((F.col("n1") + prior) / (n1 + weight - F.col("n1") - prior)) \
         - F.log((F.col("n0") + prior) / (n0 + weight - F.col("n0") - prior))
     error = F.sqrt(1 / (F.col("n1") + prior) + 1 / (F.col("n0") + prior))
-    # a word needs least_docs texts, so the table is bounded by the sample's words, and small by the test
-    listed = by_word.filter(F.col("n_docs") >= settings.least_docs) \
-        .select("word", odds.alias("odds"), error.alias("error"), (F.col("n0") / F.lit(n0)).alias("p")) \
-        .filter(F.col("odds") / F.col("error") >= settings.least_z).collect()
-    table = {bytes(r.word): min(settings.most_odds, r.odds) for r in listed}
-    decay = _decay([(min(settings.most_odds, r.odds), r.p) for r in listed], settings.drift)
-    measured = measure(sample, table, decay, settings).join(sample.select("doc_id", "toxic"), "doc_id")
-    # the calibration sees counts of rounded measures: a table of bounded size
-    cells = measured.groupBy(F.round(F.least("best", F.lit(60.0)), 1).alias("best"), F.least("n_significant", F.lit(20)).alias("n"),
-                             "toxic").count().collect()
-    x = np.array([(1.0, r.best, math.log1p(r.n)) for r in cells])
-    y, w = np.array([float(r.toxic) for r in cells]), np.array([float(r["count"]) for r in cells])
-    return Model(table, decay, _logistic(x, y, w), settings)
-
-
-def _decay(scored: list[tuple[float, float]], drift: float) -> float:
-    """lambda > 0 with sum of p * exp(lambda * score) = 1 over the words of texts that are not toxic."""
-    rest = 1 - sum(p for _, p in scored)
-    low, high = 0.0, 50.0
-    for _ in range(100):
-        mid = (low + high) / 2
-        total = rest * math.exp(mid * drift) + sum(p * math.exp(min(700.0, mid * s)) for s, p in scored)
-        low, high = (mid, high) if total < 1 else (low, mid)
-    return low if 0 < low < 49 else 1.0
-
-
-def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float, float]:
+    listed = texts.filter(F.col("n0") + F.col("n1") >= settings.least_docs) \
+        .select("word", odds.alias("odds"), error.alias("error")).filter(F.col("odds") / F.col("error") >= settings.least_z).collect()
+    return {bytes(r.word): min(settings.most_odds, r.odds) for r in listed}
+
+
+def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
+    """Learn token log-odds, the extreme-value law and the calibration from the bounded sample of labelled rows.
+
+    Law and calibration see texts as measured with the words of the other folds: those texts that gave a word score too well
+    by it. Without a word that tells the classes apart every score is the share of toxic rows, or 0.
+    """
+    sample = written(labelled_sample(docs, labels, settings))
+    counts = written(token_counts(sample, settings))
+    size = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    folds = list(range(settings.folds))
+    table = word_odds(counts, folds, settings)
+    if not table:
+        share = size.get(1, 0) / max(1, sum(size.values()))
+        return Model({}, Law(), (math.log((share + 1e-6) / (1 - share + 1e-6)), 0.0, 0.0, 0.0), settings)
+    parts = []
+    for fold in folds:
+        others = word_odds(counts, [f for f in folds if f != fold], settings)
+        parts += [measure(sample.filter((F.col("fold") == fold) & (F.col("toxic") == y)), others, Law(), settings)
+                  .select(F.lit(y).alias("toxic"), "best", "total", "n_words") for y in (0, 1)]
+    # at most sample_rows rows of four numbers, in a fixed order so that sums of them agree between runs
+    rows = np.array(sorted(tuple(r) for r in reduce(DataFrame.unionAll, parts).collect()), float).reshape(-1, 4)
+    toxic, best, total, n_words = rows.T
+    law = fit_law(best[toxic == 0], n_words[toxic == 0])
+    return Model(table, law, _logistic(_calibrating(best, total, n_words, law), toxic), settings)
+
+
+def fit_law(best: np.ndarray, n_words: np.ndarray) -> Law:
+    """Both constants by maximum likelihood from clean texts; where nothing scored (best 0) only that is known."""
+    scored = best > 0
+    if not scored.any():
+        return Law()
+
+    def likelihood(decay: float) -> tuple[float, Law]:
+        reached = float(np.sum(n_words * np.exp(-decay * best)))
+        k = scored.sum() / reached  # the best k for this decay
+        return float(scored.sum() * math.log(decay * k) - decay * best.sum() - k * reached), Law(decay, float(k))
+
+    return max((likelihood(d) for d in np.arange(0.05, 5.0, 0.01)), key=lambda x: x[0])[1]
+
+
+def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
     """Newton steps of a logistic regression with a small ridge."""
     beta = np.zeros(x.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        slope = x.T @ (w * (y - p)) - 1e-3 * beta
-        bend = (x * (w * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(x.shape[1])
+        slope = x.T @ (y - p) - 1e-3 * beta
+        bend = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(x.shape[1])
         step = np.linalg.solve(bend, slope)
         beta = beta + step
         if np.abs(step).max() < 1e-9:
@@ -208,12 +261,12 @@ def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
     """
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            s = model.score(b.column(1).to_numpy(zero_copy_only=False), b.column(2).to_numpy(zero_copy_only=False))
+            s = model.score(*(b.column(i).to_numpy(zero_copy_only=False) for i in (1, 2, 3)))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(s), pa.array((s >= 0.5).astype(np.int32)), b.column(2), b.column(3)],
-                ["doc_id", "score", "predicted", "n_passages", "passages"])
+                [b.column(0), pa.array(s), pa.array((s >= 0.5).astype(np.int32)), pa.compute.list_value_length(b.column(4)).cast(pa.int64()),
+                 b.column(4)], ["doc_id", "score", "predicted", "n_passages", "passages"])
 
-    measured = measure(docs, model.odds, model.decay, model.settings)
+    measured = measure(docs, model.odds, model.law, model.settings)
     return measured.mapInArrow(score, "doc_id bigint, score double, predicted int, n_passages bigint, "
                                       "passages array<struct<start:bigint,end:bigint,score:double>>")
 
@@ -224,11 +277,10 @@ def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
     at = names.index("text")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stems = {w[1:]: s for w, s in model.odds.items() if w.startswith(b"^")}
+        scores = WordScores(model.odds)
         for b in batches:
-            rows = [_measures((t or "").encode(), model.odds, stems, model.decay, model.settings) for t in b.column(at).to_pylist()]
-            best, n = (np.array([r[i] for r in rows], float) for i in (0, 1))
-            yield b.filter(pa.array(model.score(best, n) < 0.5))
+            rows = [_measures((t or "").encode(), scores, model.law, model.settings)[:3] for t in b.column(at).to_pylist()]
+            yield b.filter(pa.array(model.score(*np.array(rows, float).reshape(-1, 3).T) < 0.5))
 
     return docs.mapInArrow(keep, docs.schema)
 
