@@ -14,6 +14,10 @@ from parcelspark.llm.texts import STEP, U64, Words, grams, mixed, slices, slidin
 from parcelspark.sources.tables import written
 
 
+#: A document in the tables below: its id, and a hash of its text for rows that share an id but not the text.
+DOC = "doc struct<id:bigint,key:bigint>"
+
+
 @dataclass(frozen=True)
 class Settings:
     window: int = 20
@@ -41,7 +45,7 @@ def prefixes(w: Words, settings: Settings) -> tuple[np.ndarray, np.ndarray, np.n
 
 
 def selected(docs: DataFrame, settings: Settings) -> DataFrame:
-    """doc_id, prefix, n: the chosen prefixes of each document and how often they stand in it."""
+    """doc, prefix, n: the chosen prefixes of each document and how often they stand in it."""
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = texts_of(batch.column(1))
@@ -55,19 +59,19 @@ def selected(docs: DataFrame, settings: Settings) -> DataFrame:
                 n = np.diff(np.append(new, len(h)))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a).take(pa.array(text[new])), pa.array(h[new].view(np.int64)),
-                     pa.array(n.astype(np.int32))], ["doc_id", "prefix", "n"])
+                     pa.array(n.astype(np.int32))], ["doc", "prefix", "n"])
 
-    return docs.mapInArrow(choose, "doc_id bigint, prefix bigint, n int")
+    return docs.mapInArrow(choose, f"{DOC}, prefix bigint, n int")
 
 
-SUFFIXES = "large boolean, prefix bigint, doc_id bigint, start bigint, n bigint, words binary"
+SUFFIXES = f"large boolean, prefix bigint, {DOC}, start bigint, n bigint, words binary"
 SUFFIX_NAMES = [x.split()[0] for x in SUFFIXES.split(", ")]
 
 
 def suffixes(docs: DataFrame, settings: Settings) -> DataFrame:
-    """Runs of windows whose prefix is met elsewhere too: large, prefix, doc_id, start, n (windows) and the words themselves.
+    """Runs of windows whose prefix is met elsewhere too: large, prefix, doc, start, n (windows) and the words themselves.
 
-    ``docs`` has doc_id, text, live (repeated prefixes) and large (the frequent ones of them).
+    ``docs`` has doc, text, live (repeated prefixes) and large (the frequent ones of them).
     """
     size = settings.window
 
@@ -102,7 +106,7 @@ def suffixes(docs: DataFrame, settings: Settings) -> DataFrame:
 
 
 def window_rows(runs: DataFrame, settings: Settings) -> DataFrame:
-    """k1, k2 (128 bits of the words), doc_id, start: each window of ``runs`` (doc_id, start, words)."""
+    """k1, k2 (128 bits of the words), doc, start: each window of ``runs`` (doc, start, words)."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = texts_of(batch.column(2))
@@ -114,12 +118,12 @@ def window_rows(runs: DataFrame, settings: Settings) -> DataFrame:
                 start = batch.column(1).slice(a, b - a).to_numpy()[row] + at - w.first[row]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), batch.column(0).slice(a, b - a).take(pa.array(row)),
-                     pa.array(start)], ["k1", "k2", "doc_id", "start"])
+                     pa.array(start)], ["k1", "k2", "doc", "start"])
 
-    return runs.select("doc_id", "start", "words").mapInArrow(emit, "k1 bigint, k2 bigint, doc_id bigint, start bigint")
+    return runs.select("doc", "start", "words").mapInArrow(emit, f"k1 bigint, k2 bigint, {DOC}, start bigint")
 
 
-def later_leaves(group: np.ndarray, doc: np.ndarray, start: np.ndarray, texts: list[bytes], size: int) -> tuple:
+def later_leaves(group: np.ndarray, ident: np.ndarray, key: np.ndarray, start: np.ndarray, texts: list[bytes], size: int) -> tuple:
     """(row, first window, windows) of runs that stand earlier too, for the rows of whole groups.
 
     The suffixes of a group are sorted by their first ``size`` words, named by doubling as in a suffix array; suffixes of one
@@ -138,13 +142,13 @@ def later_leaves(group: np.ndarray, doc: np.ndarray, start: np.ndarray, texts: l
         names = mixed(names[:len(names) - step] * U64(0xD6E8FEB86659FD93) + names[step:])
     node = mixed(names[at] ^ (group[row].astype(U64) * STEP))
     offset = at - w.first[row]
-    place, doc = start[row] + offset, doc[row]
-    order = np.lexsort((place, doc, node))
+    place, ident, key = start[row] + offset, ident[row], key[row]
+    order = np.lexsort((place, key, ident, node))
     same = np.append(False, node[order][1:] == node[order][:-1])
     first = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))]
     # rows that repeat an id and its text have leaves at one place; none of them is later than the others
     later = np.zeros(len(at), bool)
-    later[order] = same & ((doc[order] != doc[first]) | (place[order] != place[first]))
+    later[order] = same & ((ident[order] != ident[first]) | (key[order] != key[first]) | (place[order] != place[first]))
     hit = np.flatnonzero(later)
     r, o = row[hit], offset[hit]
     new = np.flatnonzero(np.append(True, (np.diff(o) != 1) | (r[1:] != r[:-1]))[:len(hit)])
@@ -152,15 +156,17 @@ def later_leaves(group: np.ndarray, doc: np.ndarray, start: np.ndarray, texts: l
 
 
 def repeats_in_groups(rows: DataFrame, settings: Settings) -> DataFrame:
-    """doc_id, start, n: runs of windows that stand earlier too, from rows sorted by prefix inside each partition."""
+    """doc, start, n: runs of windows that stand earlier too, from rows sorted by prefix inside each partition."""
     def trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def work(table: pa.Table) -> pa.RecordBatch:
-            key, doc, start = (table.column(c).to_numpy() for c in ("prefix", "doc_id", "start"))
-            r, o, n = later_leaves(key.view(U64), doc, start, texts_of(table.column("words")), settings.window)
-            return pa.RecordBatch.from_arrays([pa.array(doc[r]), pa.array(start[r] + o), pa.array(n.astype(np.int64))],
-                                              ["doc_id", "start", "n"])
+            prefix, start = (table.column(c).to_numpy() for c in ("prefix", "start"))
+            doc = table.column("doc").combine_chunks()
+            ident, key = (doc.field(c).to_numpy() for c in ("id", "key"))
+            r, o, n = later_leaves(prefix.view(U64), ident, key, start, texts_of(table.column("words")), settings.window)
+            return pa.RecordBatch.from_arrays([doc.take(pa.array(r)), pa.array(start[r] + o), pa.array(n.astype(np.int64))],
+                                              ["doc", "start", "n"])
 
         for batch in batches:
             if not batch.num_rows:
@@ -178,51 +184,51 @@ def repeats_in_groups(rows: DataFrame, settings: Settings) -> DataFrame:
         if held:
             yield work(pa.Table.from_batches(held))
 
-    return rows.mapInArrow(trees, "doc_id bigint, start bigint, n bigint")
+    return rows.mapInArrow(trees, f"{DOC}, start bigint, n bigint")
 
 
 def repeated_runs(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """doc_id, start, n: runs of ``n`` windows from word ``start`` on that also start earlier in the corpus.
+    """doc, start, n: runs of ``n`` windows from word ``start`` on that also start earlier in the corpus.
 
-    ``docs`` has doc_id and text without nulls. Copies of a whole text are settled by text; prefixes are counted over all documents, and only suffixes under a
+    ``docs`` has doc (id and key) and text without nulls. Copies of a whole text are settled by text; prefixes are counted over all documents, and only suffixes under a
     prefix that is met again are dealt out, with their words. Under a frequent prefix, equal runs are first reduced to the
     earliest; a prefix that is still too frequent for one task is lengthened to whole windows, whose earliest places are found by
     aggregation.
     """
     text_key = F.md5(F.col("text").cast("binary"))
-    kinds = written(docs.select("doc_id", text_key.alias("kind")))
-    first = kinds.groupBy("kind").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
-    copies = written(kinds.join(first.filter(F.col("copies") > 1), "kind").filter(F.col("doc_id") != F.col("first_id"))
-                     .select(F.col("doc_id").alias("copy_id")))
-    own = docs.select("doc_id", F.col("text").cast("binary").alias("text")) \
-        .join(copies, F.col("doc_id") == F.col("copy_id"), "left_anti")
+    kinds = written(docs.select("doc", text_key.alias("kind")))
+    first = kinds.groupBy("kind").agg(F.min("doc").alias("first_doc"), F.count(F.lit(1)).alias("copies"))
+    copies = written(kinds.join(first.filter(F.col("copies") > 1), "kind").filter(F.col("doc") != F.col("first_doc"))
+                     .select(F.col("doc").alias("copy_doc")))
+    own = docs.select("doc", F.col("text").cast("binary").alias("text")) \
+        .join(copies, F.col("doc") == F.col("copy_doc"), "left_anti")
     chosen = written(selected(own, settings))
     met = chosen.groupBy("prefix").agg(F.sum("n").alias("places")).filter(F.col("places") > 1)
-    live = chosen.join(met, "prefix").groupBy(F.col("doc_id").alias("l_id")).agg(
+    live = chosen.join(met, "prefix").groupBy(F.col("doc").alias("l_doc")).agg(
         F.collect_list("prefix").alias("live"),
         F.collect_list(F.when(F.col("places") > settings.copies_from, F.col("prefix"))).alias("large"))
-    found = written(suffixes(own.join(live, F.col("doc_id") == F.col("l_id")).select("doc_id", "text", "live", "large"), settings))
+    found = written(suffixes(own.join(live, F.col("doc") == F.col("l_doc")).select("doc", "text", "live", "large"), settings))
     # runs of the same words under a frequent prefix: the earliest stands for them, all others are repeats from end to end
     frequent = found.filter("large").withColumn("kind", F.md5("words"))
     different = written(frequent.groupBy("prefix", "kind").agg(
-        F.min(F.struct("doc_id", "start", "n", "words")).alias("first"), F.count(F.lit(1)).alias("copies")))
+        F.min(F.struct("doc", "start", "n", "words")).alias("first"), F.count(F.lit(1)).alias("copies")))
     same = different.filter(F.col("copies") > 1).select(
-        F.col("prefix").alias("s_prefix"), F.col("kind").alias("s_kind"), F.col("first.doc_id").alias("f_doc"), F.col("first.start").alias("f_start"))
+        F.col("prefix").alias("s_prefix"), F.col("kind").alias("s_kind"), F.col("first.doc").alias("f_doc"), F.col("first.start").alias("f_start"))
     later = frequent.join(same, (F.col("prefix") == F.col("s_prefix")) & (F.col("kind") == F.col("s_kind"))) \
-        .filter((F.col("doc_id") != F.col("f_doc")) | (F.col("start") != F.col("f_start"))).select("doc_id", "start", "n")
+        .filter((F.col("doc") != F.col("f_doc")) | (F.col("start") != F.col("f_start"))).select("doc", "start", "n")
     too_many = different.groupBy(F.col("prefix").alias("m_prefix")).count().filter(F.col("count") > settings.group_rows)
     spread = different.select("prefix", "first.*")
     on_prefix = F.col("prefix") == F.col("m_prefix")
-    trees = found.filter(~F.col("large")).select("prefix", "doc_id", "start", "n", "words") \
+    trees = found.filter(~F.col("large")).select("prefix", "doc", "start", "n", "words") \
         .unionByName(spread.join(too_many, on_prefix, "left_anti"))
     in_groups = repeats_in_groups(
-        trees.select("prefix", "doc_id", "start", "words").repartition("prefix").sortWithinPartitions("prefix"), settings)
+        trees.select("prefix", "doc", "start", "words").repartition("prefix").sortWithinPartitions("prefix"), settings)
     windows = window_rows(spread.join(too_many, on_prefix, "left_semi"), settings)
-    earliest = windows.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count(F.lit(1)).alias("n")) \
+    earliest = windows.groupBy("k1", "k2").agg(F.min(F.struct("doc", "start")).alias("first"), F.count(F.lit(1)).alias("n")) \
         .filter(F.col("n") > 1).select("k1", "k2", "first")
-    in_large = windows.join(earliest, ["k1", "k2"]).filter(F.struct("doc_id", "start") != F.col("first")) \
-        .select("doc_id", "start", F.lit(1).cast("long").alias("n"))
-    whole = copies.select(F.col("copy_id").alias("doc_id"), F.lit(0).cast("long").alias("start"), F.lit(-1).cast("long").alias("n"))
+    in_large = windows.join(earliest, ["k1", "k2"]).filter(F.struct("doc", "start") != F.col("first")) \
+        .select("doc", "start", F.lit(1).cast("long").alias("n"))
+    whole = copies.select(F.col("copy_doc").alias("doc"), F.lit(0).cast("long").alias("start"), F.lit(-1).cast("long").alias("n"))
     return in_groups.union(later).union(in_large).union(whole)
 
 
@@ -233,13 +239,16 @@ def dedup_substrings(docs: DataFrame, settings: Settings = Settings()) -> DataFr
     """One row per row of ``docs``: doc_id, n_words, n_removed, kept (the words left, joined by one space).
 
     A word goes if a window of 20 words over it also starts earlier: in a smaller doc_id, or before in the same document. Windows
-    are judged on the input. Texts of fewer words, null texts and rows without an id lose nothing. Rows that share an id count as one
-    document of several texts. Only doc_id and text are read.
+    are judged on the input. Texts of fewer words, null texts and rows without an id lose nothing. Rows that share an id but not
+    the text are documents of their own, in the order of a hash of their texts; equal rows stay or go alike. Only doc_id and
+    text are read.
     """
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    runs = repeated_runs(rows.filter(F.col("doc_id").isNotNull()), settings) \
-        .groupBy(F.col("doc_id").alias("r_id")).agg(F.collect_list("start").alias("starts"), F.collect_list("n").alias("ns"))
-    joined = rows.join(runs, F.col("doc_id") == F.col("r_id"), "left").select(
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select("doc_id", F.struct(F.col("doc_id").cast("long").alias("id"), F.xxhash64(text).alias("key")).alias("doc"),
+                       text.alias("text"))
+    runs = repeated_runs(rows.filter(F.col("doc_id").isNotNull()).select("doc", "text"), settings) \
+        .groupBy(F.col("doc").alias("r_doc")).agg(F.collect_list("start").alias("starts"), F.collect_list("n").alias("ns"))
+    joined = rows.join(runs, F.col("doc") == F.col("r_doc"), "left").select(
         "doc_id", F.col("text").cast("binary").alias("text"), "starts", "ns")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
