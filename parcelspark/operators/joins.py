@@ -1,7 +1,8 @@
 """Equality joins.
 
 No join carries a broadcast hint: Spark broadcasts a side only when its measured size is below
-``spark.sql.autoBroadcastJoinThreshold``, and AQE splits the partitions of a hot key otherwise. Lookup tables must have
+``spark.sql.autoBroadcastJoinThreshold``, and AQE splits the partitions of a hot key otherwise. The star join, whose many tables
+would each be below it and fill the driver together, is merged. Lookup tables must have
 unique keys, else rows multiply as in any SQL join.
 """
 
@@ -17,8 +18,11 @@ from parcelspark.operators.windows import first_per_period, latest_per_key
 
 
 def join_star_left(base: DataFrame, tables: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
-    """Left-join many tables on one key set: one partitioning serves all of them."""
-    return reduce(lambda joined, table: joined.join(table, list(keys), "left"), tables, base)
+    """Left-join many tables on one key set: one partitioning serves all of them.
+
+    The joins are merges whatever the sizes: broadcast tables, each small enough by itself, add up on the driver and in every
+    executor."""
+    return reduce(lambda joined, table: joined.join(table.hint("merge"), list(keys), "left"), tables, base)
 
 
 def join_inner_using(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

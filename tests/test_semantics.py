@@ -34,6 +34,16 @@ def test_full_chain_merges_the_key(spark):
     assert sorted(rows(jn.join_full_chain(parts, ["id"]))) == [(1, 1, None, None), (2, None, 2, None), (3, None, None, 3)]
 
 
+def test_star_join_never_broadcasts(spark):
+    base = spark.createDataFrame([("a", 1), ("a", 2), (None, 3), ("b", 4)], "k string, i int")
+    tables = [spark.createDataFrame([("a", j), ("b", 10 + j), ("b", 20 + j), (None, j)], f"k string, v{j} int") for j in range(3)]
+    joined = jn.join_star_left(base, tables, ["k"])
+    assert sorted(rows(joined), key=str) == sorted(
+        [("a", i, 0, 1, 2) for i in (1, 2)] + [("b", 4, x, y, z) for x in (10, 20) for y in (11, 21) for z in (12, 22)]
+        + [(None, 3, None, None, None)], key=str)
+    assert "BroadcastExchange" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def test_arrays_null_and_empty(spark):
     df = spark.createDataFrame([(1, ["a", "b"]), (2, []), (3, None)], "id int, xs array<string>")
     assert rows(ft.array_to_text(df, "xs")) == [(1, "a, b"), (2, None), (3, None)]
