@@ -44,6 +44,25 @@ def test_star_join_never_broadcasts(spark):
     assert "BroadcastExchange" not in joined._jdf.queryExecution().executedPlan().toString()
 
 
+def test_nearest_row_of_each_key_sorts_only_the_nearest(spark):
+    nan = float("nan")
+    df = spark.createDataFrame(
+        [(1, 2.0, 5, "a"), (1, 1.0, 7, "b"), (1, 1.0, 6, "c"), (1, 1.0, 6, "c"), (2, None, 9, "d"), (2, 0.5, 1, "e"), (3, nan, 2, "f"),
+         (3, nan, 1, "g"), (None, 4.0, 1, "h"), (None, 3.0, 2, "i"), (5, 0.0, 2, "j"), (5, -0.0, 1, "k"), (6, nan, 1, "l"), (6, 9.0, 2, "m")],
+        "k int, d double, t int, v string").repartition("k")
+    found = wn.top1_by_distance(df, "k", "d", ["t"])
+    assert found.columns == df.columns
+    assert {(r.k, r.t, r.v) for r in found.collect()} == {
+        (1, 6, "c"), (2, 9, "d"), (3, 1, "g"), (None, 2, "i"), (5, 1, "k"), (6, 2, "m")}
+    assert found.count() == 6
+    pairs = spark.range(1000).repartition("id").crossJoin(F.broadcast(spark.range(50).select(F.col("id").alias("c")))).select(
+        "id", "c", F.abs(F.col("id") % 50 - F.col("c")).alias("d"))
+    wide = wn.top1_by_distance(pairs, "id", "d", ["c"])
+    assert wide.filter("c = id % 50 and d = 0").count() == 1000
+    # the candidates go straight into a hash join, not through an exchange or a sort
+    assert "ShuffledHashJoin" in wide._jdf.queryExecution().executedPlan().toString()
+
+
 def test_arrays_null_and_empty(spark):
     df = spark.createDataFrame([(1, ["a", "b"]), (2, []), (3, None)], "id int, xs array<string>")
     assert rows(ft.array_to_text(df, "xs")) == [(1, "a, b"), (2, None), (3, None)]
