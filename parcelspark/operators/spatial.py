@@ -10,7 +10,7 @@ condition.
 
 *Nearest.* Points and candidates are unit vectors in a cube cut into cells, each level twice as coarse as the one
 before. Edges are cut into pieces no longer than a cell of one level, the finest that makes few pieces. Work is done once per
-occupied cell of the points, not per point: two bounds (see ``short_lists``) leave a short list of pieces, the points of
+occupied cell of the points, not per point (among places, cells that several points share): two bounds (see ``short_lists``) leave a short list of pieces, the points of
 the cell meet only this list, and the closest segment wins, measured as a whole.
 
 So no group is paired with itself in full, the result is exact, and a place that holds a large share of the points
@@ -159,11 +159,28 @@ def spatial_join(points: DataFrame, polygons: DataFrame, lon: str, lat: str, pol
     finds them (34 whole numbers at most come to the driver).
     """
     keep = [c for c in polygons.columns if c != polygon]
+    found = _met_polygons(points, polygons, lon, lat, polygon, "inner", levels, materialize)
+    if found is None:
+        return points.join(polygons.select(*keep), F.lit(False), "inner")
+    return found.select(*[F.col(f"p.{c}") for c in points.columns], *[F.col(f"g.{c}") for c in keep])
+
+
+def points_inside(points: DataFrame, polygons: DataFrame, point_id: str, lon: str, lat: str, polygon: str,
+                  materialize: Materialize = written) -> DataFrame:
+    """The distinct ids of the points that lie in some polygon: a point's search in a cell ends at the first polygon that holds it, so
+    polygons that overlap many times over add no rows."""
+    found = _met_polygons(points.select(point_id, lon, lat), polygons.select(polygon), lon, lat, polygon, "left_semi", None, materialize)
+    return points.select(point_id).filter(F.lit(False)) if found is None else found.select(point_id).distinct()
+
+
+def _met_polygons(points: DataFrame, polygons: DataFrame, lon: str, lat: str, polygon: str, how: str,
+                  levels: Sequence[int] | None, materialize: Materialize) -> DataFrame | None:
+    """Points (``p``) joined with the polygons (``g``) that hold them; None without any polygon."""
     filed = polygon_index(polygons, polygon, materialize)
     if levels is None:
         levels = sorted(r.cell_level for r in filed.select("cell_level").distinct().collect())
     if not levels:
-        return points.join(polygons.select(*keep), F.lit(False), "inner")
+        return None
 
     looked_up = points.withColumn("cell_level", F.explode(F.array(*[F.lit(int(v)) for v in levels])))
     looked_up = looked_up.withColumns({
@@ -175,8 +192,7 @@ def spatial_join(points: DataFrame, polygons: DataFrame, lon: str, lat: str, pol
     in_box = x.between(F.col("g.box_x0"), F.col("g.box_x1")) & y.between(F.col("g.box_y0"), F.col("g.box_y1"))
     by_reference = geo.same_side(f"g.{polygon}", F.col("g.ref_x"), F.col("g.ref_y"), x, y) == F.col("g.ref_inside")
     holds = F.when(F.col("g.ref_inside").isNull(), geo.inside(f"g.{polygon}", x, y)).otherwise(by_reference)
-    matched = p.join(g, same_cell[0] & same_cell[1] & same_cell[2] & in_box & holds)
-    return matched.select(*[F.col(f"p.{c}") for c in points.columns], *[F.col(f"g.{c}") for c in keep])
+    return p.join(g, same_cell[0] & same_cell[1] & same_cell[2] & in_box & holds, how)
 
 
 def spatial_join_reverse(polygons: DataFrame, points: DataFrame, polygon: str, lon: str, lat: str) -> DataFrame:
@@ -287,6 +303,22 @@ def _farthest(place: Sequence[Column], low: Sequence[Column], high: Sequence[Col
 
 
 _LEAF = ["leaf_level", *_CELL]
+#: Points that share a leaf cell on average, and places in a cell at most on average, where the search is for places.
+POINTS_PER_LEAF, PLACES_PER_LEAF = 8, 2
+
+
+def _shared_level(seeds: DataFrame, places: DataFrame, group: str) -> int:
+    """The level of the leaf cells for a search among places: the finest that ``POINTS_PER_LEAF`` points share, or that still has no
+    more than ``PLACES_PER_LEAF`` places a cell where points are rare (two rows of 18 estimates each)."""
+    def per_cell(df: DataFrame, names: Sequence[str]) -> list[float]:
+        cells = _globe_cells([F.col(c) for c in names])
+        row = df.agg(F.count(F.lit(1)).alias("n"), *[
+            F.approx_count_distinct(F.xxhash64(group, *[_coarser(c, F.lit(v)) for c in cells]), 0.1).alias(f"l{v}") for v in range(GLOBE_LEVELS + 1)]).first()
+        return [row.n / max(1, row[f"l{v}"]) for v in range(GLOBE_LEVELS + 1)]
+
+    shared = next((v for v, n in enumerate(per_cell(seeds, ("px", "py", "pz"))) if n >= POINTS_PER_LEAF), GLOBE_LEVELS)
+    sparse = max((v for v, n in enumerate(per_cell(places, _END1)) if n <= PLACES_PER_LEAF), default=0)
+    return min(shared, sparse)
 
 
 def _leaves(group: str, level: int, index: DataFrame, seeds: DataFrame) -> DataFrame:
@@ -368,8 +400,12 @@ def nearest_segment(points: DataFrame, segments: DataFrame, point_id: str, candi
     seeds = points.select(point_id, group, lon, lat).dropna().withColumns(
         dict(zip(["px", "py", "pz"], geo.unit_vector(lon, lat))))
     p = [F.col(c) for c in ("px", "py", "pz")]
-    seeds = _leaves(group, max(0, piece_level - 1), index, seeds)
-    seeds = materialize(seeds.select(point_id, group, "px", "py", "pz", *_LEAF))
+    if only_points:
+        seeds = materialize(seeds.select(point_id, group, "px", "py", "pz"))
+        seeds = _leaves(group, _shared_level(seeds, places, group), index, seeds).select(point_id, group, "px", "py", "pz", *_LEAF)
+    else:
+        seeds = _leaves(group, max(0, piece_level - 1), index, seeds)
+        seeds = materialize(seeds.select(point_id, group, "px", "py", "pz", *_LEAF))
     lists = short_lists(seeds.select(group, *_LEAF).distinct(), index, group, piece_level, materialize) \
         .select(group, *_LEAF, candidate_id, *_END1, *_END2)
     if not only_points:

@@ -211,3 +211,39 @@ def test_plans_have_no_pairing_of_everything(spark):
                sp.nearest_school_in_state(points, places, "id", "pid", "st", "lon", "lat", "plon", "plat")):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_points_share_leaf_cells_when_places_are_few(spark):
+    rnd = random.Random(11)
+    points = [(i, "A", rnd.uniform(-100, -90), rnd.uniform(30, 40)) for i in range(4000)]
+    places = [(i, "A", rnd.uniform(-100, -90), rnd.uniform(30, 40)) for i in range(20)]
+    kept = []
+
+    def materialize(df):
+        kept.append(sp.written(df))
+        return kept[-1]
+
+    found = sp.nearest_school_in_state(
+        spark.createDataFrame(points, "id long, st string, lon double, lat double"),
+        spark.createDataFrame(places, "pid long, st string, plon double, plat double"),
+        "id", "pid", "st", "lon", "lat", "plon", "plat", materialize=materialize).collect()
+    at = {p: unit(x, y) for p, _, x, y in places}
+    expected = {i: min(at, key=lambda p: (squared(unit(x, y), at[p]), p)) for i, _, x, y in points}
+    assert {r.id: r.pid for r in found} == expected
+    # cells looked up around the leaves: fewer than points, as several share a leaf
+    looked_up = [df for df in kept if "far" in df.columns]
+    assert len(looked_up) == 1 and looked_up[0].count() < len(points)
+
+
+def test_points_inside_any_polygon_come_once(spark):
+    rnd = random.Random(3)
+    points = [(i, rnd.uniform(0, 10), rnd.uniform(0, 10)) for i in range(300)] + [(900, None, 1.0), (None, 2.5, 2.5), (0, 50.0, 50.0)]
+    corners = [(x, y, r) for r in (0.6, 3.0) for x in map(float, range(1, 8)) for y in map(float, range(1, 6))] + [(2.0, 2.0, 2.0)] * 9
+    polygons = [(g, ring((x - r, y - r), (x + r, y - r), (x, y + r))) for g, (x, y, r) in enumerate(corners)]
+    df = spark.createDataFrame(points, "id long, lon double, lat double")
+    inside = sp.points_inside(df, spark.createDataFrame(polygons, f"gid long, polygon {POLYGON}"), "id", "lon", "lat", "polygon")
+    expected = {i for i, x, y in points if x is not None and any(within(x, y, edges) for _, edges in polygons)}
+    assert sorted((r.id for r in inside.collect()), key=str) == sorted(expected, key=str)
+    assert "LeftSemi" in inside._jdf.queryExecution().executedPlan().toString()
+    none = spark.createDataFrame([], f"gid long, polygon {POLYGON}")
+    assert sp.points_inside(df, none, "id", "lon", "lat", "polygon").count() == 0
