@@ -71,8 +71,7 @@ FREE = "SELECT * FROM pu WHERE id NOT IN (SELECT id FROM hits)"
     f"SELECT id, state, gid, {ROUNDED} AS km FROM best"))
 def nearest_in_group(t):
     points, polygons = t.sql(POINTS), shapes(t)
-    hits = sp.spatial_join(points.select("id", "lon", "lat"), polygons.select("gid", "polygon"), "lon", "lat", "polygon")
-    rest = points.join(hits.select("id").distinct(), "id", "left_anti")
+    rest = points.join(sp.points_inside(points, polygons, "id", "lon", "lat", "polygon"), "id", "left_anti")
     found = sp.nearest_in_group(rest, polygons, "id", "gid", "state", "lon", "lat", "polygon")
     return found.select("id", "state", "gid", round_half_up(F.col("distance") / 1000.0, 2).alias("km"))
 
