@@ -21,15 +21,19 @@ def dictionary(terms: DataFrame, term: str = "ngram", out: str = "term_id", mate
     Terms are sorted by ranges, numbered within their range, and shifted by the number of terms in earlier ranges. Only the
     sizes of the ranges, as many as there are shuffle partitions, meet in one place.
     """
-    listed = terms.select(term).filter(F.col(term).isNotNull()).distinct()
+    return _numbered(terms.select(term).filter(F.col(term).isNotNull()).distinct(), term, out, materialize)
+
+
+def _numbered(listed: DataFrame, term: str, out: str, materialize: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Rows of distinct terms with their numbers; other columns travel along."""
     place = F.monotonically_increasing_id()
-    ranged = materialize(listed.repartitionByRange(F.col(term)).sortWithinPartitions(term).select(term, place.alias("place")))
+    ranged = materialize(listed.repartitionByRange(F.col(term)).sortWithinPartitions(term).withColumn("place", place))
     piece = F.shiftright("place", ROW_BITS)
     sizes = ranged.groupBy(piece.alias("piece")).agg(F.count(F.lit(1)).alias("n"))
     before = F.coalesce(F.sum("n").over(Window.orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = sizes.select("piece", before.alias("start"))
-    return ranged.withColumn("piece", piece).join(starts, "piece") \
-        .select(term, (F.col("start") + F.col("place").bitwiseAND(F.lit((1 << ROW_BITS) - 1))).cast("long").alias(out))
+    number = (F.col("start") + F.col("place").bitwiseAND(F.lit((1 << ROW_BITS) - 1))).cast("long").alias(out)
+    return ranged.withColumn("piece", piece).join(starts, "piece").select(*listed.columns, number)
 
 
 @dataclass(frozen=True)
@@ -49,10 +53,9 @@ class FoldedNaiveBayes:
         one that knows all. Terms that the model does not know say nothing; documents without terms have the prior."""
         which = F.col(fold) if fold else F.lit(self.folds)
         known = docs.select(F.col(doc).alias("of_doc"), which.alias("model")).distinct()
-        counted = terms.groupBy(doc, self.term).agg(F.count(F.lit(1)).alias("n"))
-        met = counted.join(self.table, self.term).select(doc, "n", "odds")
-        sums = met.join(known, F.col(doc) == F.col("of_doc")).groupBy("of_doc").agg(
-            F.sum(F.col("n") * F.get("odds", F.col("model"))).alias("said"))
+        # the model first, so that of a term's odds only the one needed goes on to the document
+        placed = terms.join(known, F.col(doc) == F.col("of_doc")).select("of_doc", "model", self.term)
+        sums = placed.join(self.table.select(self.term, "odds"), self.term).groupBy("of_doc").agg(F.sum(F.get("odds", F.col("model"))).alias("said"))
         prior = F.get(F.array(*[F.lit(p) for p in self.priors]), which)
         scored = docs.join(sums, F.col(doc) == F.col("of_doc"), "left").withColumn(out, prior + F.coalesce("said", F.lit(0.0))).drop("of_doc", "said")
         return scored.withColumn("prediction", (F.col(out) > 0).cast("int"))
@@ -88,6 +91,6 @@ def train_naive_bayes(docs: DataFrame, terms: DataFrame, doc: str, label: str, t
         return F.when(F.col("n0")[k] + F.col("n1")[k] > 0, F.log(share[1]) - F.log(share[0]))
 
     priors = [math.log((docs_seen[f"d1_{k}"] + smoothing) / (docs_seen[f"d0_{k}"] + smoothing)) for k in range(models)]
-    numbered = dictionary(counts, term, materialize=materialize).join(counts, term)
+    numbered = _numbered(counts.filter(F.col(term).isNotNull()), term, "term_id", materialize)
     table = materialize(numbered.select("term_id", term, F.array(*[odds(k) for k in range(models)]).alias("odds")))
     return FoldedNaiveBayes(term, count, table, priors)

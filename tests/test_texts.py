@@ -80,3 +80,17 @@ def test_naive_bayes_equals_plain_loops(spark):
             assert r.score == pytest.approx(expected(i, out(i)), abs=1e-9) and r.prediction == int(r.score > 0)
     none = cl.train_naive_bayes(docs.filter("false"), terms, "doc", "label")
     assert {r.score for r in none.score(docs, terms, "doc").collect()} == {0.0}
+
+
+def test_training_numbers_terms_and_shuffles_them_once(spark):
+    docs = spark.createDataFrame([(1, 0, 0), (2, 1, 1), (3, 1, 0), (4, None, 1)], "doc_id int, label int, fold int")
+    terms = spark.createDataFrame([(1, "b"), (1, "b"), (1, "a"), (2, "a"), (3, "c"), (3, None), (4, "b"), (9, "z")], "doc_id int, ngram string")
+    model = cl.train_naive_bayes(docs, terms, "doc_id", "label", fold="fold", folds=2)
+    assert [(r.ngram, r.term_id) for r in model.table.orderBy("term_id").collect()] == [("a", 0), ("b", 1), ("c", 2)]
+    odds = {r.ngram: r.odds for r in model.table.collect()}
+    scored = model.score(docs, terms, "doc_id", "fold")
+    assert {r.doc_id: pytest.approx(r.score) for r in scored.collect()} == {
+        d: model.priors[f] + sum(odds[t][f] or 0.0 for t in said if t in odds)
+        for d, f, said in ((1, 0, "bba"), (2, 1, "a"), (3, 0, "c"), (4, 1, "b"))}
+    # occurrences meet the odds as they are, without a count by document and term first
+    assert "count(1)" not in scored._jdf.queryExecution().optimizedPlan().toString()
