@@ -241,14 +241,26 @@ def fit_law(best: np.ndarray, n_words: np.ndarray) -> Law:
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
-    """Newton steps of a logistic regression with a small ridge."""
+    """Newton steps of a logistic regression with a small ridge, halved until the likelihood rises.
+
+    A whole step overshoots where the classes are nearly apart, and from there every probability is 0 or 1 and no step leads back.
+    """
+    def likelihood(beta: np.ndarray) -> float:
+        z = x @ beta
+        return float((y * z - np.logaddexp(0, z)).sum() - 0.5e-3 * beta @ beta)
+
     beta = np.zeros(x.shape[1])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
+    now = likelihood(beta)
+    for _ in range(200):
+        p = np.exp(-np.logaddexp(0, -(x @ beta)))
         slope = x.T @ (y - p) - 1e-3 * beta
         bend = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(x.shape[1])
         step = np.linalg.solve(bend, slope)
-        beta = beta + step
+        while (then := likelihood(beta + step)) < now and np.abs(step).max() >= 1e-9:
+            step = step / 2
+        if then < now:
+            break
+        beta, now = beta + step, then
         if np.abs(step).max() < 1e-9:
             break
     return tuple(float(b) for b in beta)

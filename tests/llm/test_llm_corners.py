@@ -3,6 +3,7 @@
 import random
 import string
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,6 +66,21 @@ def test_without_a_word_to_learn_the_share_of_toxic_rows_decides(docs, labels):
     assert toxicity.drop_toxic(docs, toxicity.fit(docs, labels.filter("toxic = 0"))).count() == len(ROWS)
 
 
+def test_calibration_converges_where_classes_are_nearly_apart():
+    """Long clean texts score a little, one clean and one toxic text score far beyond all others: whole Newton steps overshoot here."""
+    quiet, some, toxic = np.linspace(1.5, 8.2, 100), np.linspace(-1.2, 2.7, 60), np.linspace(0, 1, 35)
+    best = np.concatenate([-0.0013 * np.exp(quiet) / 2, some, 8.4 + 7 * toxic, [30, 130]])
+    total = np.concatenate([0 * quiet, np.where(np.arange(60) % 2, 2.2 - 0.4 * some, 1.8 - 0.2 * some), 2.6 + 1.4 * toxic, [4.1, 4.9]])
+    words = np.concatenate([quiet, 7.8 - some, 5 + 1.6 * toxic, [6.5, 6.4]])
+    y = np.repeat([0.0, 1, 0, 1], [160, 35, 1, 1])
+    x = np.stack([np.ones(len(y)), best, total, words], 1)
+    beta = np.array(toxicity._logistic(x, y))
+    assert np.abs(beta).max() < 100
+    assert ((x @ beta > 0) == (y == 1)).sum() >= len(y) - 1
+    slope = x.T @ (y - 1 / (1 + np.exp(-(x @ beta)))) - 1e-3 * beta
+    assert np.abs(slope).max() < 1e-6
+
+
 @pytest.mark.parametrize("name", list(OPERATORS))
 def test_empty_tables(docs, benchmark, labels, name):
     assert OPERATORS[name](docs.filter("false"), benchmark.filter("false"), labels.filter("false")).count() == 0
