@@ -50,6 +50,8 @@ OWN = GLOBE_LEVELS + 1
 #: Edges of one polygon that a cell holds before it is cut, and the levels that one cut goes down.
 MOST_EDGES = 16
 CUT_LEVELS = 3
+#: Points in a cell from which on its polygons are cut there too: 64 smaller cells cost less than that many points against a box.
+CROWD = 512
 #: Cells are cut down to 2^-24 degrees (less than a centimetre), where many edges may still meet in a point.
 FINEST_CUT = -24
 #: Where a cell's reference point lies in it: places that no drawn border goes through by habit.
@@ -173,28 +175,90 @@ def points_inside(points: DataFrame, polygons: DataFrame, point_id: str, lon: st
     return points.select(point_id).filter(F.lit(False)) if found is None else found.select(point_id).distinct()
 
 
+_GRID = ["cell_level", "cell_x", "cell_y"]
+
+
+def _levels_of(filed: DataFrame) -> list[int]:
+    return sorted(r.cell_level for r in filed.select("cell_level").distinct().collect())
+
+
+def _looked_up(points: DataFrame, lon: str, lat: str, levels: Sequence[int]) -> DataFrame:
+    """A row per point and level, with the point's cell there."""
+    placed = points.withColumn("cell_level", F.explode(F.array(*[F.lit(int(v)) for v in levels])))
+    return placed.withColumns({"cell_x": _cell(F.col(lon), F.col("cell_level")), "cell_y": _cell(F.col(lat), F.col("cell_level"))})
+
+
+def _cut_crowded(filed: DataFrame, points: DataFrame, lon: str, lat: str, polygon: str, levels: Sequence[int],
+                 materialize: Materialize) -> tuple[DataFrame, Sequence[int]]:
+    """The index with polygons cut into smaller cells where a cell has ``CROWD`` points, and the levels then in use.
+
+    Where points and polygons are both many, most pairs that share an uncut cell miss; of the smaller cells most are wholly
+    inside or outside, so the pairs that meet are little more than those that hold.
+    """
+    counts = _looked_up(points.select(lon, lat), lon, lat, levels).groupBy(*_GRID).agg(F.count(F.lit(1)).alias("n"))
+    crowded = materialize(counts.filter(F.col("n") >= CROWD).select(*_GRID))
+    if crowded.isEmpty():
+        return filed, levels
+    edges = F.size(polygon)
+    may = (edges > 0) & (edges <= MOST_EDGES) & (F.col("cell_level") - CUT_LEVELS >= FINEST_CUT)
+    # a small table with much work in each row
+    work = filed.filter(may).join(crowded, _GRID, "left_semi").repartition(4 * filed.sparkSession.sparkContext.defaultParallelism)
+    size = F.pow(F.lit(2.0), F.col("cell_level"))
+    known = F.col("ref_inside").isNotNull()
+    work = work.withColumns({f"ref_{v}": F.when(known, F.col(f"ref_{v}")).otherwise(_reference(v)) for v in "xy"})
+    work = work.withColumn("ref_inside", F.when(known, F.col("ref_inside")).otherwise(geo.inside(polygon, "ref_x", "ref_y")))
+    work = work.withColumn(polygon, geo.touching(polygon, F.col("cell_x") * size, F.col("cell_y") * size, size, size))
+    rest = filed.filter(~may).unionByName(filed.filter(may).join(crowded, _GRID, "left_anti"))
+    cut = materialize(rest.unionByName(_cut_cells(work, polygon)))
+    return cut, _levels_of(cut)
+
+
 def _met_polygons(points: DataFrame, polygons: DataFrame, lon: str, lat: str, polygon: str, how: str,
                   levels: Sequence[int] | None, materialize: Materialize) -> DataFrame | None:
     """Points (``p``) joined with the polygons (``g``) that hold them; None without any polygon."""
     filed = polygon_index(polygons, polygon, materialize)
-    if levels is None:
-        levels = sorted(r.cell_level for r in filed.select("cell_level").distinct().collect())
+    levels = _levels_of(filed) if levels is None else levels
     if not levels:
         return None
+    filed, levels = _cut_crowded(filed, points, lon, lat, polygon, levels, materialize)
+    return _held(_looked_up(points, lon, lat, levels), filed, lon, lat, polygon, how)
 
-    looked_up = points.withColumn("cell_level", F.explode(F.array(*[F.lit(int(v)) for v in levels])))
-    looked_up = looked_up.withColumns({
-        "cell_x": _cell(F.col(lon), F.col("cell_level")), "cell_y": _cell(F.col(lat), F.col("cell_level"))})
 
+def _held(looked_up: DataFrame, filed: DataFrame, lon: str, lat: str, polygon: str, how: str) -> DataFrame:
     p, g = looked_up.alias("p"), filed.alias("g")
     x, y = F.col(f"p.{lon}"), F.col(f"p.{lat}")
-    same_cell = [F.col(f"p.{k}") == F.col(f"g.{k}") for k in ("cell_level", "cell_x", "cell_y")]
+    same_cell = [F.col(f"p.{k}") == F.col(f"g.{k}") for k in _GRID]
     in_box = x.between(F.col("g.box_x0"), F.col("g.box_x1")) & y.between(F.col("g.box_y0"), F.col("g.box_y1"))
     by_reference = geo.same_side(f"g.{polygon}", F.col("g.ref_x"), F.col("g.ref_y"), x, y) == F.col("g.ref_inside")
-    holds = F.when(F.col("g.ref_inside").isNull(), geo.inside(f"g.{polygon}", x, y)).otherwise(by_reference)
+    holds = F.when(F.col("g.ref_inside").isNull(), geo.inside(f"g.{polygon}", x, y)) \
+        .when(F.size(f"g.{polygon}") == 0, F.col("g.ref_inside")).otherwise(by_reference)
     return p.join(g, same_cell[0] & same_cell[1] & same_cell[2] & in_box & holds, how)
 
 
+def least_inside(points: DataFrame, polygons: DataFrame, lon: str, lat: str, polygon: str, ranks: Sequence[str],
+                 materialize: Materialize = written) -> DataFrame:
+    """The distinct points that lie in some polygon, with the least of each rank (whole numbers) of the polygons that hold them.
+
+    A polygon without a rank (NULL) takes no part in it. In a cell only those polygons are met that come before the first one that
+    holds the whole cell, so polygons that overlap many times over add few pairs.
+    """
+    points = materialize(points.filter(F.col(lon).isNotNull() & F.col(lat).isNotNull()).distinct())
+    filed = polygon_index(polygons.select(polygon, *ranks), polygon, materialize)
+    levels = _levels_of(filed)
+    if not levels:
+        return points.filter(F.lit(False)).withColumns({r: F.lit(None).cast("long") for r in ranks})
+    filed, levels = _cut_crowded(filed, points, lon, lat, polygon, levels, materialize)
+    whole = F.coalesce((F.size(polygon) == 0) & F.col("ref_inside"), F.lit(False))
+    covers = materialize(filed.filter(whole).groupBy(*_GRID).agg(*[F.min(r).alias(f"whole_{r}") for r in ranks]))
+    some = filed.filter(~whole).join(covers, _GRID, "left")
+    some = some.withColumns({r: F.when(F.col(f"whole_{r}").isNull() | (F.col(r) < F.col(f"whole_{r}")), F.col(r)) for r in ranks})
+    some = some.filter(F.coalesce(*ranks).isNotNull()).drop(*[f"whole_{r}" for r in ranks])
+    looked_up = _looked_up(points, lon, lat, levels)
+    met = _held(looked_up, some, lon, lat, polygon, "inner").select(*[F.col(f"p.{c}") for c in points.columns], *ranks)
+    in_whole = looked_up.join(covers, _GRID).select(*points.columns, *[F.col(f"whole_{r}").alias(r) for r in ranks])
+    return met.unionByName(in_whole).groupBy(*points.columns).agg(*[F.min(r).alias(r) for r in ranks])
+
+
 def spatial_join_reverse(polygons: DataFrame, points: DataFrame, polygon: str, lon: str, lat: str) -> DataFrame:
     """The same join seen from the polygons: every polygon with each reference point inside it."""
     joined = spatial_join(points, polygons, lon, lat, polygon)

@@ -247,3 +247,45 @@ def test_points_inside_any_polygon_come_once(spark):
     assert "LeftSemi" in inside._jdf.queryExecution().executedPlan().toString()
     none = spark.createDataFrame([], f"gid long, polygon {POLYGON}")
     assert sp.points_inside(df, none, "id", "lon", "lat", "polygon").count() == 0
+
+
+@pytest.fixture
+def crowd():
+    """Many points on triangles that overlap many times over, some of them tiny or far away."""
+    rnd = random.Random(8)
+    points = [(i, rnd.uniform(0, 10), rnd.uniform(0, 10)) for i in range(4000)] + [(9000, None, 1.0), (9001, 2.5, None), (None, 2.5, 2.5), (9002, 50.0, 50.0)]
+    points += [(i + 5000, float(i % 11), float(i // 11)) for i in range(121)]
+    corners = [(rnd.uniform(0, 10), rnd.uniform(0, 10), rnd.choice((0.01, 0.7, 1.5, 4.0))) for _ in range(120)] + [(5.0, 5.0, 4.0)] * 5
+    return points, [(g, g % 3, ring((x - r, y - r), (x + r, y - 0.8 * r), (x + 0.1 * r, y), (x, y + r))) for g, (x, y, r) in enumerate(corners)]
+
+
+def test_crowded_cells_are_cut(spark, crowd):
+    points, polygons = crowd
+    kept = []
+
+    def materialize(df):
+        kept.append(sp.written(df))
+        return kept[-1]
+
+    found = sp.spatial_join(spark.createDataFrame(points, "id long, lon double, lat double"),
+                            spark.createDataFrame(polygons, f"gid long, kind long, polygon {POLYGON}"), "lon", "lat", "polygon", materialize=materialize)
+    expected = [(i, g) for i, x, y in points if x is not None and y is not None for g, _, edges in polygons if within(x, y, edges)]
+    assert sorted((str(r.id), r.gid) for r in found.collect()) == sorted((str(i), g) for i, g in expected)
+    # cells that lie wholly inside, where no edge is met
+    cells = [df for df in kept if "ref_inside" in df.columns][-1]
+    assert cells.filter("size(polygon) = 0 AND ref_inside").count() > 100
+
+
+def test_least_rank_of_the_polygons_that_hold_a_point(spark, crowd):
+    points, polygons = crowd
+    table = spark.createDataFrame([(1000 - g if kind != 1 else None, g if kind != 2 else None, edges) for g, kind, edges in polygons],
+                                  f"a long, b long, polygon {POLYGON}")
+    found = sp.least_inside(spark.createDataFrame(points, "id long, lon double, lat double"), table, "lon", "lat", "polygon", ["a", "b"])
+    expected = {}
+    for i, x, y in points:
+        held = [(g, kind) for g, kind, edges in polygons if x is not None and y is not None and within(x, y, edges)]
+        if held:
+            expected[i] = (min((1000 - g for g, kind in held if kind != 1), default=None), min((g for g, kind in held if kind != 2), default=None))
+    assert {r.id: (r.a, r.b) for r in found.collect()} == expected
+    none = spark.createDataFrame([], f"a long, b long, polygon {POLYGON}")
+    assert sp.least_inside(spark.createDataFrame(points, "id long, lon double, lat double"), none, "lon", "lat", "polygon", ["a", "b"]).count() == 0
