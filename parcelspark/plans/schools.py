@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from parcelspark.functions.geometry import sphere_distance_m
 from parcelspark.functions.scalars import round_half_up
-from parcelspark.operators.spatial import Materialize, nearest_school_in_state, spatial_join
+from parcelspark.operators.spatial import Materialize, least_inside, nearest_school_in_state
 from parcelspark.operators.windows import top1
 from parcelspark.sources.tables import written
 from parcelspark.plans.listing_rules import PUBLIC_SCHOOL, SCHOOL_LEVELS, SCHOOL_MEASURES
@@ -29,13 +29,19 @@ def assign_schools(listings: DataFrame, schools: DataFrame, materialize: Materia
     listing; a level without any school stays NULL.
     """
     public = public_schools(schools)
-    where = listings.select("listing_id", "lon", "lat", "state_prov_short")
+    where = materialize(listings.select("listing_id", "lon", "lat", "state_prov_short"))
 
-    zones = public.select("obj_id", "levels", "longitude", "latitude", *SCHOOL_MEASURES, "geom")
-    hits = spatial_join(where.select("listing_id", "lon", "lat"), zones, "lon", "lat", "geom")
-    hits = hits.select("listing_id", F.explode("levels").alias("level"), "obj_id", *SCHOOL_MEASURES,
-                       sphere_distance_m("lon", "lat", "longitude", "latitude").alias("distance"))
-    best = top1(hits, ["listing_id", "level"], [F.col("pctile_y1").desc_nulls_last(), "obj_id"])
+    # the better the school, the lower its number; ids grow with the order over all partitions
+    ranked = public.orderBy(F.col("pctile_y1").desc_nulls_last(), "obj_id").withColumn("rank", F.monotonically_increasing_id())
+    ranked = materialize(ranked.select("rank", "levels", "longitude", "latitude", *SCHOOL_MEASURES, "geom"))
+    ranks = {level: F.when(F.array_contains("levels", level), F.col("rank")) for level in SCHOOL_LEVELS}
+    zones = ranked.select("geom", *[r.alias(level) for level, r in ranks.items()])
+    holding = least_inside(where.select("listing_id", "lon", "lat"), zones, "lon", "lat", "geom", list(SCHOOL_LEVELS), materialize)
+    hits = holding.select("listing_id", "lon", "lat", F.explode(F.array(*[
+        F.struct(F.lit(level).alias("level"), F.col(level).alias("rank")) for level in SCHOOL_LEVELS])).alias("hit"))
+    hits = hits.select("listing_id", "lon", "lat", "hit.*").join(ranked.drop("levels", "geom"), "rank")
+    hits = hits.withColumn("distance", sphere_distance_m("lon", "lat", "longitude", "latitude"))
+    best = top1(hits, ["listing_id", "level"], ["rank", "distance"])
     best = materialize(best.select("listing_id", "level", "distance", *SCHOOL_MEASURES))
 
     wanted = where.withColumn("level", F.explode(F.array(*[F.lit(v) for v in SCHOOL_LEVELS])))
