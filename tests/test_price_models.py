@@ -177,3 +177,19 @@ def test_one_model_scores_rows_with_gaps(spark, homes, kind):
         out = md.score_batch(model, rest, ["id"])
         assert sorted(r.id for r in out.collect()) == sorted(r.id for r in rest.collect())
         assert out.filter("prediction IS NULL OR isnan(prediction)").count() == 0
+
+
+@pytest.mark.parametrize("kind", ["gamma", "trees"])
+def test_learners_go_over_kept_vectors(spark, monkeypatch, kind):
+    seen, before = [], len(spark.sparkContext._jsc.getPersistentRDDs())
+    for learner in (md.GeneralizedLinearRegression, md.GBTRegressor):
+        def fit(self, dataset, params=None, known=learner.fit):
+            seen.append((sorted(dataset.columns), dataset.storageLevel.useMemory))
+            return known(self, dataset, params)
+        monkeypatch.setattr(learner, "fit", fit)
+    rows = spark.createDataFrame([(float(i % 7) if i % 5 else None, float(i % 3), 100.0 + 10 * (i % 7) + i % 3) for i in range(200)], "a double, b double, close_price double")
+    model = md.train_price_model(rows, ["a", "b"], kind=kind, iterations=5)
+    assert seen == [(["close_price", "features"], True)]
+    scored = model.transform(rows.drop("close_price"))
+    assert scored.count() == 200 and scored.filter("prediction IS NULL").count() == 0
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == before
