@@ -276,6 +276,6 @@ def op7_line_dedup(spark, sf_dir: str) -> DataFrame:
     done = without_repeats(docs)
     text = F.coalesce("doc.text", F.lit(""))
     return done.select(
-        "doc.doc_id", (F.length(text) - F.length(F.translate(text, "\n", "")) + 1).cast("long").alias("n_lines"),
+        "doc.doc_id", (F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines"),
         F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
         F.sha2(F.coalesce("cleaned", F.lit("")), 256).alias("kept_sha256"))

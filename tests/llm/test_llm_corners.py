@@ -248,3 +248,11 @@ def test_segments_are_maximal():
 
         hits = [(i, v) for i, v in enumerate(values) if v > 0]
         assert [(s, e) for s, e, _ in toxicity.segments(hits, -0.25)] == best(0, len(values))
+
+
+def test_lines_are_counted_without_a_pass_over_characters(spark, tmp_path):
+    texts = [None, "", "\n", "ä\n日本\n\nb", "one\r\ntwo\u2028three", "x" * 50 + "\n" + "x" * 50 + "\n"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = line_dedup.op7_line_dedup(spark, str(tmp_path))
+    assert {r.doc_id: r.n_lines for r in found.collect()} == {i: (t or "").count("\n") + 1 for i, t in enumerate(texts)}
+    assert "translate" not in found._jdf.queryExecution().optimizedPlan().toString()
