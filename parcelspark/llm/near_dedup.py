@@ -213,10 +213,27 @@ def verified(pairs: DataFrame, texts: DataFrame, sketches: DataFrame, settings:
     return written(with_both(texts, likely, "text").mapInArrow(exact, f"a {NODE}, b {NODE}"))
 
 
+#: Bits that mark wanted texts: 2 MB, whatever the input.
+MARKS = 1 << 24
+
+
+def marked_rows(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The ``rows`` (t_node) whose text may be that of one of ``nodes``: so that other texts are not moved for an exact join."""
+    bit = F.pmod(F.col("text_key"), F.lit(MARKS)) + 1
+    bitmaps = nodes.select(F.col("node.text_key").alias("text_key")) \
+        .groupBy(F.bitmap_bucket_number(bit).alias("stretch")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
+    own = rows.withColumn("text_key", F.col("t_node.text_key"))
+    met = own.join(F.broadcast(bitmaps), F.bitmap_bucket_number(bit) == F.col("stretch"))
+    place = F.bitmap_bit_position(bit).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col("bits"), F.shiftright(place, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    on = byte.bitwiseAND(F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), place % 8 + 1)) != 0
+    return met.filter(on).select(*rows.columns)
+
+
 def texts_of_nodes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The columns of ``nodes`` and text (binary), each node once however many rows repeat it."""
     rows = docs.select(node_of(F.col("doc_id"), F.col("text")).alias("t_node"), F.col("text").cast("binary").alias("text"))
-    found = rows.join(nodes, F.col("t_node") == F.col("node")).drop("t_node")
+    found = marked_rows(rows, nodes).join(nodes, F.col("t_node") == F.col("node")).drop("t_node")
     order = Window.partitionBy("node").orderBy("node")
     return found.withColumn("copy", F.row_number().over(order)).filter("copy = 1").drop("copy")
 
@@ -275,13 +292,39 @@ def rare_pairs(own: DataFrame, planes: DataFrame, settings: Settings) -> DataFra
         .select(F.col("node").alias("a"), F.col("x_node").alias("b")).distinct()
 
 
+#: Rounds in which open buckets get new pivots before the rest meets by shingles.
+ROUNDS = 2
+
+
+def in_open_buckets(members: DataFrame, found: DataFrame) -> DataFrame:
+    """bucket, node and part (its component, or itself) of the buckets whose members (bucket, node) are still in several parts."""
+    placed = members.join(found.withColumnRenamed("node", "c_node"), F.col("node") == F.col("c_node"), "left") \
+        .select("bucket", "node", F.coalesce("component", "node").alias("part"))
+    several = placed.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high").select("bucket")
+    return placed.join(several, "bucket", "left_semi")
+
+
+def merged(found: DataFrame, fresh: DataFrame) -> DataFrame:
+    """The components ``found`` once the links ``fresh`` (a, b) are added: only the parts that these touch are walked again."""
+    ends = fresh.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    known = found.withColumnsRenamed({"node": "f_node", "component": "old"})
+    part_of = written(ends.join(known, F.col("node") == F.col("f_node"), "left").select("node", F.coalesce("old", "node").alias("part")))
+    a, b = (part_of.select(F.col("node").alias(f"{x}_node"), F.col("part").alias(f"{x}_part")) for x in "ab")
+    joined = components(fresh.join(a, F.col("a") == F.col("a_node")).join(b, F.col("b") == F.col("b_node"))
+                        .select(F.col("a_part").alias("a"), F.col("b_part").alias("b"))).withColumnRenamed("node", "p_node")
+    every = found.select("node", F.col("component").alias("part")).union(
+        part_of.join(found.select(F.col("node").alias("f_node")), F.col("node") == F.col("f_node"), "left_anti"))
+    return every.join(joined, F.col("part") == F.col("p_node"), "left").select("node", F.coalesce("component", "part").alias("component"))
+
+
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id (smallest id of its class), n_shingles, kept (whether its text stays).
 
     A class holds what links of similarity ``least`` and more connect; shingles are runs of five words between white space, and
     a shorter text is one shingle. Texts with the same shingles are one node, that of the smallest id. In a bucket of a band, all
-    nodes are held against one of them, so a group of near copies costs one comparison a member and band. Nodes of buckets that
-    are still in several components meet by their rarest shingles, so no link in a bucket is lost.
+    nodes are held against one of them, so a group of near copies costs one comparison a member and band; buckets that
+    are still in several components get new pivots twice. Nodes of buckets that stay in several meet by their rarest
+    shingles, so no link in a bucket is lost.
     Texts without words and rows without an id are classes of their own and stay. Rows that share an id are judged each by
     its own text; rows that repeat id and text are kept or not alike. Only doc_id and text are read.
     """
@@ -306,17 +349,28 @@ def _judged(docs: DataFrame, settings: Settings) -> DataFrame:
         return table.filter(F.col(x) != F.col(y)).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
 
     star = written(ordered(members, "node", "pivot"))
-    links = verified(star, docs, sketches, settings)
-    found = components(links).withColumnRenamed("node", "c_node")
-    # buckets of three and more that are still in parts; in those of two the one pair has been tried
-    placed = members.filter(F.col("size") > 2).join(found, F.col("node") == F.col("c_node"), "left") \
-        .select("bucket", "node", F.coalesce("component", "node").alias("part"))
-    parts = placed.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("n"))
-    open_buckets = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_parts")).filter(F.col("n_parts") > 1)
-    unsure = written(placed.join(open_buckets, "bucket", "left_semi").select("node", "part").distinct())
-    own = written(texts_of_nodes(docs, unsure).select("node", "part", "text"))
-    more = verified(written(rare_pairs(own, kinds.select("node", "planes"), settings)), own.select("node", "text"), sketches, settings)
-    classes = components(links.union(more)).withColumnRenamed("node", "c_node")
+    found = components(verified(star, docs, sketches, settings))
+    # buckets of three and more; in those of two the one pair has been tried
+    crowded = members.filter(F.col("size") > 2).select("bucket", "node")
+    unsure = written(in_open_buckets(crowded, found).select("node").distinct())
+    texts = written(texts_of_nodes(docs, unsure).select("node", "text"))
+    marks = written(kinds.select("node", "sketch", "planes").join(unsure, "node", "left_semi"))
+    for turn in range(1, ROUNDS + 1):
+        placed = written(in_open_buckets(crowded, found))
+        # another pivot in each round, mostly one of the largest part
+        pivots = placed.groupBy("bucket").agg(F.min(F.struct(
+            F.xxhash64("node", "bucket", F.lit(turn)).alias("turn"), "node", "part")).alias("pivot")) \
+            .select("bucket", F.col("pivot.node").alias("pivot"), F.col("pivot.part").alias("pivot_part"))
+        apart = placed.join(pivots, "bucket").filter(F.col("part") != F.col("pivot_part"))
+        tried = written(ordered(apart, "node", "pivot").join(star, ["a", "b"], "left_anti"))
+        fresh = verified(tried, texts, marks, settings)
+        if fresh.isEmpty():
+            break
+        star, found = star.union(tried), written(merged(found, fresh))
+    still = written(in_open_buckets(crowded, found).select("node", "part").distinct())
+    own = written(texts.join(still, "node").select("node", "part", "text"))
+    more = verified(written(rare_pairs(own, marks, settings)), own.select("node", "text"), marks, settings)
+    classes = merged(found, more).withColumnRenamed("node", "c_node")
     of_kind = kinds.join(classes, F.col("node") == F.col("c_node"), "left") \
         .select("n_shingles", "set1", "set2", F.coalesce("component", "node").alias("class_node"))
     labelled = signed.select("node", "n_shingles", "set1", "set2").join(of_kind, ["n_shingles", "set1", "set2"], "left")
