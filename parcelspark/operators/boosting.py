@@ -3,7 +3,8 @@
 A feature is cut into quantile bins per segment. A level of the trees of all segments is one aggregate: rows and summed
 ratios of price to scored price by (segment, node, feature, bin), which Spark combines before the shuffle. A leaf's best step and
 the worth of a split follow from the two in closed form, so no step overshoots however far the prices spread. The best split of each node is a window
-over that small table. Only the rows' bins and scores are kept between trees.
+over that small table. Rows of a segment that share all bins share every node and score, so they are one cell with their number and summed price: there are
+at most as many cells as rows, and as bins to the power of the features in a segment.
 """
 
 from __future__ import annotations
@@ -89,11 +90,11 @@ def worth(ratio: Column, n: Column, ridge: float) -> Column:
 def split_gains(rows: DataFrame, settings: TreeSettings) -> DataFrame:
     """The best split of each node: model_segment, node, feature, cut (bins beyond it go right), gain, and the steps left and right.
 
-    ``rows`` have model_segment, node, ratio (price over scored price) and bins. Nodes without a split that gains have feature -1
+    ``rows`` have model_segment, node, n (training rows that one stands for), ratio (their prices over the scored one, summed) and bins. Nodes without a split that gains have feature -1
     and one step, left. Ties go to the first feature and the lowest cut.
     """
-    cells = rows.select("model_segment", "node", "ratio", F.posexplode("bins").alias("feature", "bin")) \
-        .groupBy("model_segment", "node", "feature", "bin").agg(F.sum("ratio").alias("ratio"), F.count(F.lit(1)).alias("n"))
+    cells = rows.select("model_segment", "node", "n", "ratio", F.posexplode("bins").alias("feature", "bin")) \
+        .groupBy("model_segment", "node", "feature", "bin").agg(F.sum("ratio").alias("ratio"), F.sum("n").alias("n"))
     node = Window.partitionBy("model_segment", "node", "feature")
     upto = node.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     sums = cells.select("model_segment", "node", "feature", "bin", *[F.sum(c).over(w).alias(f"{s}_{c}")
@@ -127,7 +128,7 @@ def _grow(scored: DataFrame, segments: DataFrame, settings: TreeSettings) -> Dat
         known = tree.select(F.col("model_segment").alias("of"), "feature", "cut")
         placed = scored.join(known, F.col("model_segment").eqNullSafe(F.col("of"))).select(
             "model_segment", leaf_of(F.col("bins"), F.col("feature"), F.col("cut"), level).alias("node"),
-            (F.col("y") * F.exp(-F.col("score"))).alias("ratio"), "bins")
+            "n", (F.col("y") * F.exp(-F.col("score"))).alias("ratio"), "bins")
         made = split_gains(placed, settings).groupBy("model_segment").agg(
             F.map_from_entries(F.collect_list(F.struct("node", F.struct("feature", "cut", "left", "right")))).alias("made")) \
             .withColumnRenamed("model_segment", "of")
@@ -149,7 +150,7 @@ def train_segment_trees(df: DataFrame, segment: str, features: Sequence[str], la
     """Fit boosted trees that minimise the gamma deviance of the price, in every segment.
 
     Rows without a price above zero do not train; missing features go with the lowest values of theirs. ``edges`` gives the bins of each
-    feature instead of quantiles. A level is one pass over narrow rows (a small number per feature), a tree one
+    feature instead of quantiles. The rows are read once for quantiles and once for cells; a level is one pass over the cells, a tree one
     table of them; a table is read by the next tree only. An empty table gives no models.
     """
     features = list(features)
@@ -158,14 +159,15 @@ def train_segment_trees(df: DataFrame, segment: str, features: Sequence[str], la
     of = shape.withColumnRenamed("model_segment", "of")
     bins = F.array(*[bin_of(F.col("x")[i], F.col("edges")[i]) for i in range(len(features))]).cast("array<smallint>")
     scored = written(rows.join(of, F.col("model_segment").eqNullSafe(F.col("of")))
-                     .select("model_segment", "y", F.col("start").alias("score"), bins.alias("bins")))
+                     .select("model_segment", "y", F.col("start").alias("score"), bins.alias("bins"))
+                     .groupBy("model_segment", "score", "bins").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("y")))
     model = shape.withColumn("trees", F.array().cast("array<struct<feature:array<int>,cut:array<int>,value:array<double>>>"))
     for k in range(0 if shape.isEmpty() else settings.trees):
         tree = _grow(scored, shape, settings).withColumnRenamed("model_segment", "of")
         if k < settings.trees - 1:
             added = F.element_at("value", leaf_of(F.col("bins"), F.col("feature"), F.col("cut"), settings.depth))
             scored = written(scored.join(tree, F.col("model_segment").eqNullSafe(F.col("of")))
-                             .select("model_segment", "y", (F.col("score") + added).alias("score"), "bins"))
+                             .select("model_segment", "n", "y", (F.col("score") + added).alias("score"), "bins"))
         grown = F.concat("trees", F.array(F.struct("feature", "cut", "value")))
         model = model.join(tree, F.col("model_segment").eqNullSafe(F.col("of"))).select("model_segment", "n", "start", "edges", grown.alias("trees"))
         model = written(model)

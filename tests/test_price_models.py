@@ -135,6 +135,20 @@ def test_trees_equal_a_plain_grower(homes):
         assert [r.prediction for r in own] == pytest.approx(grown(own, features, settings, edges), rel=1e-8)
 
 
+def test_trees_are_grown_from_cells_not_rows(spark, monkeypatch):
+    rows = [(i, "a" if i % 3 else None, float(i % 2), float(i % 5), i, 10.0 + i % 7, "x", "x", "x") for i in range(300)]
+    grow, sizes = bo._grow, []
+
+    def seen(scored, segments, settings):
+        sizes.append(scored.count())
+        return grow(scored, segments, settings)
+
+    monkeypatch.setattr(bo, "_grow", seen)
+    model = bo.train_segment_trees(spark.createDataFrame(rows, SCHEMA), "seg", ["u", "v"], settings=bo.TreeSettings(trees=2, depth=2, least_rows=8))
+    assert sizes == [20, 20]  # two segments of 2 x 5 pairs of bins
+    assert {r.model_segment: r.n for r in model.table.collect()} == {"a": 200, None: 100}
+
+
 def test_gamma_trees_beat_squared_error_trees_on_the_holdout(spark):
     df = spark.createDataFrame(made_up(4000, 5), SCHEMA).filter("close_price > 0").withColumn("close_price", F.col("close_price") * F.exp("u"))
     parts = md.split_tvh(df, "id", 0, 25)
