@@ -54,6 +54,8 @@ CUT_LEVELS = 3
 CROWD = 512
 #: Cells are cut down to 2^-24 degrees (less than a centimetre), where many edges may still meet in a point.
 FINEST_CUT = -24
+#: Edges up to which a cell's are columns of the join (most cells that were cut have one or two).
+FEW_EDGES = 4
 #: Where a cell's reference point lies in it: places that no drawn border goes through by habit.
 REFERENCE = (0.38196601125010515, 0.41421356237309503)
 
@@ -161,18 +163,25 @@ def spatial_join(points: DataFrame, polygons: DataFrame, lon: str, lat: str, pol
     finds them (34 whole numbers at most come to the driver).
     """
     keep = [c for c in polygons.columns if c != polygon]
-    found = _met_polygons(points, polygons, lon, lat, polygon, "inner", levels, materialize)
-    if found is None:
+    filed, levels = _ready(points, polygons, lon, lat, polygon, levels, materialize)
+    if not levels:
         return points.join(polygons.select(*keep), F.lit(False), "inner")
-    return found.select(*[F.col(f"p.{c}") for c in points.columns], *[F.col(f"g.{c}") for c in keep])
+    return _held(_looked_up(points, lon, lat, levels), filed, lon, lat, polygon, "inner", points.columns, keep)
 
 
 def points_inside(points: DataFrame, polygons: DataFrame, point_id: str, lon: str, lat: str, polygon: str,
                   materialize: Materialize = written) -> DataFrame:
     """The distinct ids of the points that lie in some polygon: a point's search in a cell ends at the first polygon that holds it, so
     polygons that overlap many times over add no rows."""
-    found = _met_polygons(points.select(point_id, lon, lat), polygons.select(polygon), lon, lat, polygon, "left_semi", None, materialize)
-    return points.select(point_id).filter(F.lit(False)) if found is None else found.select(point_id).distinct()
+    places = points.select(point_id, lon, lat)
+    filed, levels = _ready(places, polygons.select(polygon), lon, lat, polygon, None, materialize)
+    return _ids_inside(places, filed, levels, point_id, lon, lat, polygon)
+
+
+def _ids_inside(places: DataFrame, filed: DataFrame, levels: Sequence[int], point_id: str, lon: str, lat: str, polygon: str) -> DataFrame:
+    if not levels:
+        return places.select(point_id).filter(F.lit(False))
+    return _held(_looked_up(places, lon, lat, levels), filed, lon, lat, polygon, "left_semi", [point_id]).distinct()
 
 
 _GRID = ["cell_level", "cell_x", "cell_y"]
@@ -213,26 +222,65 @@ def _cut_crowded(filed: DataFrame, points: DataFrame, lon: str, lat: str, polygo
     return cut, _levels_of(cut)
 
 
-def _met_polygons(points: DataFrame, polygons: DataFrame, lon: str, lat: str, polygon: str, how: str,
-                  levels: Sequence[int] | None, materialize: Materialize) -> DataFrame | None:
-    """Points (``p``) joined with the polygons (``g``) that hold them; None without any polygon."""
+def _ready(points: DataFrame, polygons: DataFrame, lon: str, lat: str, polygon: str, levels: Sequence[int] | None,
+           materialize: Materialize) -> tuple[DataFrame, Sequence[int]]:
+    """The index of the polygons, cut where points crowd, and its levels (none without any polygon)."""
     filed = polygon_index(polygons, polygon, materialize)
     levels = _levels_of(filed) if levels is None else levels
-    if not levels:
-        return None
-    filed, levels = _cut_crowded(filed, points, lon, lat, polygon, levels, materialize)
-    return _held(_looked_up(points, lon, lat, levels), filed, lon, lat, polygon, how)
+    return _cut_crowded(filed, points, lon, lat, polygon, levels, materialize) if levels else (filed, levels)
 
 
-def _held(looked_up: DataFrame, filed: DataFrame, lon: str, lat: str, polygon: str, how: str) -> DataFrame:
-    p, g = looked_up.alias("p"), filed.alias("g")
+def _edge_columns(filed: DataFrame, polygon: str) -> DataFrame:
+    """Each edge of cells with ``FEW_EDGES`` at most as columns, and where it crosses the vertical through the reference point.
+
+    Without a reference point it is one far to the east, outside: then the way to a point is the ray of ``inside``. Values that no
+    way meets stand for edges and crossings that are not there, so nothing is null.
+    """
+    far = F.lit(float("inf"))
+    out = {"ref_x": F.coalesce("ref_x", far), "ref_y": F.coalesce("ref_y", F.lit(0.0)), "ref_inside": F.coalesce("ref_inside", F.lit(False))}
+    for i in range(FEW_EDGES):
+        edge = F.get(polygon, F.lit(i))
+        x1, y1, x2, y2 = (F.coalesce(edge[c], F.lit(0.0)) for c in ("x1", "y1", "x2", "y2"))
+        run, rise = x2 - x1, y2 - y1
+        spans = F.col("ref_x").isNotNull() & ((x1 > F.col("ref_x")) != (x2 > F.col("ref_x")))
+        at_y = rise * (F.col("ref_x") - x1) / F.nullif(run, F.lit(0.0)) + y1
+        out |= {f"x{i}": x1, f"y{i}": y1, f"top{i}": y2, f"run{i}": run, f"rise{i}": F.when(rise == 0, F.lit(1.0)).otherwise(rise),
+                f"up{i}": F.coalesce(F.when(spans, at_y), far)}
+    return filed.withColumns(out).drop(polygon)
+
+
+def _holds_by_columns(x: Column, y: Column) -> Column:
+    """``same_side`` of the reference point and (x, y) as ``ref_inside`` says, by the edges of ``_edge_columns``.
+
+    Spark compiles plain columns into the join, but runs a lambda over an array value by value.
+    """
+    odd = F.lit(False)
+    for i in range(FEW_EDGES):
+        at_x = F.col(f"g.run{i}") * (y - F.col(f"g.y{i}")) / F.col(f"g.rise{i}") + F.col(f"g.x{i}")
+        across = ((F.col(f"g.y{i}") > y) != (F.col(f"g.top{i}") > y)) & ((at_x > F.col("g.ref_x")) != (at_x > x))
+        up = (F.col(f"g.up{i}") > F.col("g.ref_y")) != (F.col(f"g.up{i}") > y)
+        odd = odd != (up != across)
+    return odd != F.col("g.ref_inside")
+
+
+def _held(looked_up: DataFrame, filed: DataFrame, lon: str, lat: str, polygon: str, how: str, of_point: Sequence[str],
+          of_polygon: Sequence[str] = ()) -> DataFrame:
+    """Columns of the points, and of the polygons that hold them (``left_semi``: a point may come twice)."""
     x, y = F.col(f"p.{lon}"), F.col(f"p.{lat}")
-    same_cell = [F.col(f"p.{k}") == F.col(f"g.{k}") for k in _GRID]
     in_box = x.between(F.col("g.box_x0"), F.col("g.box_x1")) & y.between(F.col("g.box_y0"), F.col("g.box_y1"))
     by_reference = geo.same_side(f"g.{polygon}", F.col("g.ref_x"), F.col("g.ref_y"), x, y) == F.col("g.ref_inside")
-    holds = F.when(F.col("g.ref_inside").isNull(), geo.inside(f"g.{polygon}", x, y)) \
-        .when(F.size(f"g.{polygon}") == 0, F.col("g.ref_inside")).otherwise(by_reference)
-    return p.join(g, same_cell[0] & same_cell[1] & same_cell[2] & in_box & holds, how)
+    by_lambda = F.when(F.col("g.ref_inside").isNull(), geo.inside(f"g.{polygon}", x, y)).otherwise(by_reference)
+    few = F.size(polygon) <= FEW_EDGES
+    many = filed.filter(~few)
+    parts = [(_edge_columns(filed.filter(few), polygon), _holds_by_columns(x, y))] + ([] if many.isEmpty() else [(many, by_lambda)])
+
+    def met(part: DataFrame, holds: Column) -> DataFrame:
+        p, g = looked_up.alias("p"), part.alias("g")
+        same_cell = [F.col(f"p.{k}") == F.col(f"g.{k}") for k in _GRID]
+        found = p.join(g, same_cell[0] & same_cell[1] & same_cell[2] & in_box & holds, how)
+        return found.select(*[F.col(f"p.{c}") for c in of_point], *[F.col(f"g.{c}") for c in of_polygon])
+
+    return reduce(DataFrame.union, [met(*v) for v in parts])
 
 
 def least_inside(points: DataFrame, polygons: DataFrame, lon: str, lat: str, polygon: str, ranks: Sequence[str],
@@ -254,7 +302,7 @@ def least_inside(points: DataFrame, polygons: DataFrame, lon: str, lat: str, pol
     some = some.withColumns({r: F.when(F.col(f"whole_{r}").isNull() | (F.col(r) < F.col(f"whole_{r}")), F.col(r)) for r in ranks})
     some = some.filter(F.coalesce(*ranks).isNotNull()).drop(*[f"whole_{r}" for r in ranks])
     looked_up = _looked_up(points, lon, lat, levels)
-    met = _held(looked_up, some, lon, lat, polygon, "inner").select(*[F.col(f"p.{c}") for c in points.columns], *ranks)
+    met = _held(looked_up, some, lon, lat, polygon, "inner", points.columns, ranks)
     in_whole = looked_up.join(covers, _GRID).select(*points.columns, *[F.col(f"whole_{r}").alias(r) for r in ranks])
     return met.unionByName(in_whole).groupBy(*points.columns).agg(*[F.min(r).alias(r) for r in ranks])
 

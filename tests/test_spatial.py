@@ -2,6 +2,7 @@
 
 import math
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -289,3 +290,33 @@ def test_least_rank_of_the_polygons_that_hold_a_point(spark, crowd):
     assert {r.id: (r.a, r.b) for r in found.collect()} == expected
     none = spark.createDataFrame([], f"a long, b long, polygon {POLYGON}")
     assert sp.least_inside(spark.createDataFrame(points, "id long, lon double, lat double"), none, "lon", "lat", "polygon", ["a", "b"]).count() == 0
+
+
+def mixed_polygons(spark):
+    """3,000 points in two degrees, so that cells are cut, and polygons of 3 to 24 corners, some apart from all points."""
+    r = random.Random(11)
+    points = [(i, "N", r.uniform(0, 2), r.uniform(0, 2)) for i in range(3000)] + [(3000, "N", 9.0, 9.0), (3001, "M", 9.0, 9.0)]
+    polygons = []
+    for gid, n in enumerate([3, 4, 4, 5, 8, 24, 4, 4]):
+        x, y, size = r.uniform(0.5, 1.5), r.uniform(0.5, 1.5), r.uniform(0.3, 1.5)
+        corners = [(x + size * r.uniform(0.3, 1) * math.cos(2 * math.pi * k / n), y + size * r.uniform(0.3, 1) * math.sin(2 * math.pi * k / n))
+                   for k in range(n)]
+        polygons.append((gid, "N", ring(*corners)))
+    polygons.append((99, "N", ring((5.0, 5.0), (6.0, 5.0), (6.0, 6.0))))
+    inside = {(i, g) for i, _, x, y in points for g, _, edges in polygons if within(x, y, edges)}
+    return (spark.createDataFrame(points, "id long, state string, lon double, lat double"),
+            spark.createDataFrame(polygons, f"gid long, state string, polygon {POLYGON}"), inside)
+
+
+def test_edges_of_small_cells_are_tested_by_compiled_columns(spark, monkeypatch):
+    points, polygons, inside = mixed_polygons(spark)
+    assert max(Counter(i for i, _ in inside).values()) > 2
+    for most in (512, 10 ** 9):  # with crowded cells cut, and all cells as they are filed
+        monkeypatch.setattr(sp, "CROWD", most)
+        found = sp.spatial_join(points, polygons.select("gid", "polygon"), "lon", "lat", "polygon").select("id", "gid")
+        assert Counter(map(tuple, found.collect())) == Counter(inside)
+        ids = sp.points_inside(points, polygons, "id", "lon", "lat", "polygon")
+        assert sorted(r.id for r in ids.collect()) == sorted({i for i, _ in inside})
+    small = sp.spatial_join(points, polygons.filter(F.size("polygon") <= 4).select("gid", "polygon"), "lon", "lat", "polygon")
+    joins = [line for line in small._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in line]
+    assert joins and not any("lambda" in line for line in joins)
