@@ -560,9 +560,13 @@ def nearest_school_in_state(points: DataFrame, places: DataFrame, point_id: str,
 def contains_or_nearest(points: DataFrame, polygons: DataFrame, point_id: str, polygon_id: str, group: str, lon: str,
                         lat: str, polygon: str, materialize: Materialize = written) -> DataFrame:
     """``(point_id, polygon_id)``: every polygon a point lies in; for points in none, the nearest of their group."""
-    located = spatial_join(points.select(point_id, lon, lat), polygons.select(polygon_id, polygon), lon, lat, polygon)
-    located = materialize(located.select(point_id, polygon_id))
-    rest = points.select(point_id, group, lon, lat).join(located.select(point_id).distinct(), point_id, "left_anti")
+    places = points.select(point_id, lon, lat)
+    filed, levels = _ready(places, polygons.select(polygon_id, polygon), lon, lat, polygon, None, materialize)
+    rest = points.select(point_id, group, lon, lat).join(_ids_inside(places, filed, levels, point_id, lon, lat, polygon), point_id, "left_anti")
     nearest = nearest_in_group(rest, polygons, point_id, polygon_id, group, lon, lat, polygon,
                                materialize=materialize)
-    return located.unionByName(nearest.select(point_id, polygon_id))
+    nearest = nearest.select(point_id, polygon_id)
+    if not levels:
+        return nearest
+    # found last: the pairs are many, and nothing else needs them
+    return _held(_looked_up(places, lon, lat, levels), filed, lon, lat, polygon, "inner", [point_id], [polygon_id]).union(nearest)

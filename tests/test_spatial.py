@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from parcelspark.functions import geometry as geo
 from parcelspark.operators import spatial as sp
 from parcelspark.plans.location import enrich_location
+from parcelspark.sources.tables import written
 
 POLYGON = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
 
@@ -320,3 +321,19 @@ def test_edges_of_small_cells_are_tested_by_compiled_columns(spark, monkeypatch)
     small = sp.spatial_join(points, polygons.filter(F.size("polygon") <= 4).select("gid", "polygon"), "lon", "lat", "polygon")
     joins = [line for line in small._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in line]
     assert joins and not any("lambda" in line for line in joins)
+
+
+def test_pairs_of_contains_or_nearest_are_not_stored(spark):
+    points, polygons, inside = mixed_polygons(spark)
+    stored = []
+
+    def kept(df):
+        stored.append(set(df.columns))
+        return written(df)
+
+    found = sp.contains_or_nearest(points, polygons, "id", "gid", "state", "lon", "lat", "polygon", kept)
+    rows = Counter(map(tuple, found.collect()))
+    assert all(not {"id", "gid"} <= columns for columns in stored)
+    assert rows.keys() >= inside and set(rows.values()) == {1}
+    assert {i for i, _ in rows.keys() - inside} == {r.id for r in points.collect() if r.state == "N"} - {i for i, _ in inside}
+    assert (3000, 99) in rows
